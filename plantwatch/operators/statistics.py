@@ -87,10 +87,10 @@ def standardised(rows: DataFrame, columns: list[str], training: DataFrame | None
             ]
         ).alias("s")
     )
-    s = measured.scalar()
+    s = F.col("_training")
     scaled = {
         c: (F.coalesce(finite(F.col(c)), s[c]["mean"]) - s[c]["mean"])
         / F.coalesce(F.nullif(s[c]["std"], F.lit(0.0)), F.lit(1.0))
         for c in columns
     }
-    return rows.withColumns(scaled)
+    return rows.withColumn("_training", measured.scalar()).withColumns(scaled).drop("_training")

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ["dashboards"]
+_MODULES = ["dashboards", "preparation", "detection", "pipeline", "evaluation"]
 
 
 def _loaded():
