@@ -19,24 +19,35 @@ from plantwatch.schema import COMPRESSION_RATIO, CONSUMERS, PRODUCERS, REPLICATI
 LAG_STATUS = [(100.0, "warning"), (500.0, "critical")]
 
 
-def message_facts(messages: DataFrame) -> DataFrame:
-    """Messages in the shape that cells sum up, dated by arrival."""
-    none = F.lit(None).cast("bigint")
-    return messages.select(
-        "topic", "partition", F.col("arrival_time").alias("at"), F.col("offset").cast("bigint").alias("offset"),
-        none.alias("committed"), F.lit(1).alias("messages"), "bytes", (~F.col("ok")).cast("int").alias("errors"),
+def message_fact() -> Column:
+    """A message as one entry to be summed into a cell, dated by its arrival."""
+    return F.struct(
+        F.col("topic").alias("topic"),
+        F.col("partition").alias("partition"),
+        F.col("arrival_time").alias("at"),
+        F.col("offset").cast("bigint").alias("offset"),
+        F.lit(None).cast("bigint").alias("committed"),
+        F.lit(1).alias("messages"),
+        F.col("bytes").cast("bigint").alias("bytes"),
+        (~F.col("ok")).cast("int").alias("errors"),
         (epoch_micros(F.col("arrival_time")) - epoch_micros(F.col("event_time"))).alias("latency_us"),
         F.col("arrival_time").alias("arrived"),
     )
 
 
-def commit_facts(commits: DataFrame) -> DataFrame:
-    """Commits in the shape that cells sum up, dated by commit."""
-    zero = F.lit(0)
-    return commits.select(
-        "topic", "partition", F.col("commit_time").alias("at"), F.lit(None).cast("bigint").alias("offset"),
-        F.col("committed_offset").cast("bigint").alias("committed"), zero.alias("messages"), zero.cast("bigint").alias("bytes"),
-        zero.alias("errors"), zero.cast("bigint").alias("latency_us"), F.lit(None).cast(NTZ).alias("arrived"),
+def commit_fact() -> Column:
+    """A commit as one entry to be summed into a cell, dated by its commit time."""
+    return F.struct(
+        F.col("topic").alias("topic"),
+        F.col("partition").alias("partition"),
+        F.col("commit_time").alias("at"),
+        F.lit(None).cast("bigint").alias("offset"),
+        F.col("committed_offset").cast("bigint").alias("committed"),
+        F.lit(0).alias("messages"),
+        F.lit(0).cast("bigint").alias("bytes"),
+        F.lit(0).alias("errors"),
+        F.lit(0).cast("bigint").alias("latency_us"),
+        F.lit(None).cast(NTZ).alias("arrived"),
     )
 
 
@@ -59,32 +70,61 @@ def cells_of(facts: DataFrame, every: str) -> DataFrame:
 
 
 def cells(messages: DataFrame, commits: DataFrame, every: str) -> DataFrame:
-    return cells_of(message_facts(messages).unionByName(commit_facts(commits)), every)
-
-
-def topic_ticks(cells: DataFrame, every: str) -> DataFrame:
-    """One row per topic and tick, quiet ticks included, with offsets carried forward."""
-    bounds = cells.agg(F.struct(F.min("time").alias("first"), F.max("time").alias("last")).alias("b")).scalar()
-    steps = F.sequence(bounds["first"], bounds["last"], F.expr(f"INTERVAL {every}"))
-    grid = cells.select("topic", "partition").distinct().withColumn("time", F.explode(steps))
-    dense = grid.join(cells, ["topic", "partition", "time"], "left")
-    so_far = Window.partitionBy("topic", "partition").orderBy("time").rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy("topic", "partition").orderBy("time").rowsBetween(Window.unboundedPreceding, -1)
-    produced, committed = F.max("offset").over(so_far), F.coalesce(F.max("committed").over(so_far), F.lit(0))
-    earlier = F.coalesce(F.max("committed").over(before), F.lit(0))
-    per_partition = (
-        dense.withColumn("_lag", F.coalesce(at_least_zero(1 + produced - committed), F.lit(0)))
-        .withColumn("_progress", committed - earlier)
-        .withColumn("_arrived", F.max("arrived").over(so_far))
-        .withColumn("_seen", produced.isNotNull())
+    facts = messages.select(message_fact().alias("f")).unionByName(commits.select(commit_fact().alias("f")))
+    return cells_of(facts.select("f.*"), every)
+
+
+def tick_range(messages: DataFrame, every: str) -> Column:
+    """First and last tick that has an arrival, as a scalar subquery over one column."""
+    bounds = messages.agg(F.min("arrival_time").alias("a"), F.max("arrival_time").alias("b"))
+    tick = lambda c: F.window(F.col(c), every)["end"]
+    first = bounds.select("b", tick("a").alias("first")).select("first", tick("b").alias("last"))
+    return first.select(F.struct("first", "last").alias("r")).scalar()
+
+
+def topic_ticks(cells: DataFrame, every: str, ticks: Column) -> DataFrame:
+    """One row per topic and tick of the range, quiet ticks included, with offsets carried forward.
+
+    Each cell stands for its own tick and the quiet ticks up to the next cell of its partition.
+    """
+    step = F.expr(f"INTERVAL {every}")
+    series = Window.partitionBy("topic", "partition").orderBy("time")
+    so_far = series.rowsBetween(Window.unboundedPreceding, 0)
+    before = series.rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0)
+    carried = (
+        cells.withColumn("_range", ticks)
+        .where(F.col("time") <= F.col("_range.last"))
+        .withColumns(
+            {
+                "_produced": F.max("offset").over(so_far),
+                "_committed": F.coalesce(F.max("committed").over(so_far), zero),
+                "_earlier": F.coalesce(F.max("committed").over(before), zero),
+                "_arrived": F.max("arrived").over(so_far),
+                "_from": F.when(F.lag("time").over(series).isNull(), F.least("time", "_range.first")).otherwise(F.col("time")),
+                "_until": F.coalesce((F.lead("time").over(series) - step).cast(NTZ), F.col("_range.last")),
+            }
+        )
+    )
+    filled = carried.withColumn("_tick", F.explode(F.sequence("_from", "_until", step)))
+    own, begun = F.col("_tick") == F.col("time"), F.col("_tick") >= F.col("time")
+    per_partition = filled.withColumns(
+        {
+            "_lag": F.when(begun, F.coalesce(at_least_zero(1 + F.col("_produced") - F.col("_committed")), zero)).otherwise(zero),
+            "_progress": F.when(own, F.col("_committed") - F.col("_earlier")).otherwise(zero),
+            "_arrived": F.when(begun, F.col("_arrived")),
+            "_seen": begun & F.col("_produced").isNotNull(),
+            **{c: F.when(own, F.col(c)).otherwise(zero) for c in ("messages", "bytes", "errors", "latency_us")},
+            "time": F.col("_tick"),
+        }
     )
     per_topic = per_partition.groupBy("topic", "time").agg(
         F.sum("_lag").alias("lag_records"),
         F.sum("_progress").alias("progress"),
-        F.coalesce(F.sum("messages"), F.lit(0)).alias("messages"),
-        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
-        F.coalesce(F.sum("errors"), F.lit(0)).alias("errors"),
-        F.coalesce(F.sum("latency_us"), F.lit(0)).alias("latency_us"),
+        F.sum("messages").alias("messages"),
+        F.sum("bytes").alias("bytes"),
+        F.sum("errors").alias("errors"),
+        F.sum("latency_us").alias("latency_us"),
         F.max("_arrived").alias("arrived"),
         F.count_if("_seen").alias("partitions"),
     )

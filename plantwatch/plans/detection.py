@@ -82,7 +82,7 @@ def normal_baseline_vs_attack(spark, folder):
     return attack.select("tie", "stage", F.round(F.col("value_num") - F.col("mean"), 6).alias("deviation"), F.round(z, 5).alias("z"))
 
 
-DIMENSIONS = {f"d{i:02d}": i for i in range(64)}
+DIMENSIONS = [f"d{i:02d}" for i in range(64)]
 _CONTRIBUTIONS = """dims AS (SELECT vec_id, unnest(embedding)::DOUBLE AS value, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings), base AS (
 SELECT i, avg(value) AS m, sqrt(var_pop(value)) + 1e-8 AS s FROM dims GROUP BY i), ranked AS (
 SELECT vec_id, 'd' || lpad(CAST(i AS VARCHAR), 2, '0') AS feature, value, (value - m) / s AS z,
@@ -91,8 +91,7 @@ row_number() OVER (PARTITION BY vec_id ORDER BY abs((value - m) / s) DESC, i) AS
 
 def explained(spark, folder):
     rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
-    features = {name: F.col("embedding")[i].cast("double") for name, i in DIMENSIONS.items()}
-    return E.top_contributors(rows, features, E.feature_statistics(rows, features))
+    return E.top_contributors(rows, "embedding", DIMENSIONS, E.vector_statistics(rows, "embedding", len(DIMENSIONS)))
 
 
 @query(f"WITH {_CONTRIBUTIONS} SELECT vec_id, CAST(place - 1 AS INTEGER) AS place, feature, round(value, 6) AS value, round(abs(z), 5) AS deviation, round(z, 5) AS z_score FROM ranked WHERE place <= 5")

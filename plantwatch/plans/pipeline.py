@@ -8,7 +8,7 @@ from plantwatch.functions.numbers import at_least_zero, lag_megabytes
 from plantwatch.operators import health as H
 from plantwatch.plans.registry import query
 from plantwatch.plans.sqlviews import MESSAGES
-from plantwatch.sources.adapters import commits, messages
+from plantwatch.sources.adapters import messages, messages_of, pipeline_facts, table
 
 TICK = "1 hour"
 
@@ -16,7 +16,7 @@ _TICKS = MESSAGES + """, facts AS (
 SELECT topic, part, time_bucket(INTERVAL 1 HOUR, arrival_time) + INTERVAL 1 HOUR AS t, off, NULL::BIGINT AS committed, 1 AS msgs, bytes, CASE WHEN ok THEN 0 ELSE 1 END AS errors,
 epoch_us(arrival_time) - epoch_us(event_time) AS latency, arrival_time AS arrived FROM messages
 UNION ALL SELECT topic, part, time_bucket(INTERVAL 1 HOUR, commit_time) + INTERVAL 1 HOUR, NULL, committed, 0, 0, 0, 0, NULL FROM commits), grid AS (
-SELECT topic, part, unnest(generate_series((SELECT min(t) FROM facts), (SELECT max(t) FROM facts), INTERVAL 1 HOUR)) AS t FROM (SELECT DISTINCT topic, part FROM facts)), dense AS (
+SELECT topic, part, unnest(generate_series((SELECT min(t) FROM facts WHERE msgs = 1), (SELECT max(t) FROM facts WHERE msgs = 1), INTERVAL 1 HOUR)) AS t FROM (SELECT DISTINCT topic, part FROM facts)), dense AS (
 SELECT g.topic, g.part, g.t, max(off) AS off, max(committed) AS committed, coalesce(sum(msgs), 0) AS msgs, coalesce(sum(bytes), 0) AS bytes, coalesce(sum(errors), 0) AS errors,
 coalesce(sum(latency), 0) AS latency, max(arrived) AS arrived FROM grid g LEFT JOIN facts f ON f.topic = g.topic AND f.part = g.part AND f.t = g.t GROUP BY 1, 2, 3), carried AS (
 SELECT *, max(off) OVER w AS top_off, coalesce(max(committed) OVER w, 0) AS now_c, coalesce(max(committed) OVER (PARTITION BY topic, part ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS old_c,
@@ -35,8 +35,8 @@ count(CASE WHEN lag > 500 THEN 1 END) AS critical_alerts FROM ticks GROUP BY t)"
 
 
 def pipeline_ticks(spark, folder):
-    stream = messages(spark, folder)
-    return H.topic_ticks(H.cells(stream, commits(stream), TICK), TICK)
+    ticks = H.tick_range(messages_of(table(spark, folder, "events")), TICK)
+    return H.topic_ticks(H.cells_of(pipeline_facts(spark, folder), TICK), TICK, ticks)
 
 
 def _rounded(frame, *names, digits=6):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantwatch.functions.times import NTZ
@@ -92,17 +92,32 @@ def messages_of(events: DataFrame) -> DataFrame:
     )
 
 
-def commits(stream: DataFrame) -> DataFrame:
-    """Offsets committed five minutes after arrival, every tenth message.
-
-    The attack consumer stalls from the 10th to the 19th, so its lag grows.
-    """
+def is_committed() -> Column:
+    """Every tenth message is committed; the attack consumer stalls from the 10th to the 19th, so its lag grows."""
     stalled = (F.col("topic") == ATTACK_TOPIC) & F.dayofmonth("event_time").between(10, 19)
+    return (F.col("offset") % 10 == 0) & ~stalled
+
+
+def commit_columns() -> dict[str, Column]:
     group = F.when(F.col("topic") == NORMAL_TOPIC, CONSUMERS[NORMAL_TOPIC]).otherwise(CONSUMERS[ATTACK_TOPIC])
-    return stream.where((F.col("offset") % 10 == 0) & ~stalled).select(
-        group.alias("group"),
-        "topic",
-        "partition",
-        (F.col("offset") + 1).alias("committed_offset"),
-        (F.col("arrival_time") + F.expr("INTERVAL 5 MINUTES")).cast(NTZ).alias("commit_time"),
+    return {
+        "group": group,
+        "committed_offset": F.col("offset") + 1,
+        "commit_time": (F.col("arrival_time") + F.expr("INTERVAL 5 MINUTES")).cast(NTZ),
+    }
+
+
+def commits(stream: DataFrame) -> DataFrame:
+    """Offsets committed five minutes after arrival."""
+    return stream.where(is_committed()).withColumns(commit_columns()).select(
+        "group", "topic", "partition", "committed_offset", "commit_time"
     )
+
+
+def pipeline_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages and the commits derived from them as cell entries, in one pass over the numbered messages."""
+    from plantwatch.operators.health import commit_fact, message_fact
+
+    stream = messages(spark, folder).withColumns(commit_columns())
+    entries = F.array(message_fact(), F.when(is_committed(), commit_fact()))
+    return stream.select(F.inline(F.filter(entries, lambda e: e.isNotNull())))
