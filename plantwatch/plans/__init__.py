@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ["dashboards", "preparation", "detection", "pipeline", "evaluation"]
+_MODULES = ["dashboards", "preparation", "detection", "pipeline", "evaluation", "training", "streams"]
 
 
 def _loaded():
