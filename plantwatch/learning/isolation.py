@@ -13,7 +13,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantwatch.operators.joins import lookup, only_fields
@@ -82,26 +82,26 @@ def _samples(known: DataFrame, fields: list[str], key: str, trees: int, sample:
     """
     sizes = known.groupBy("field").agg(F.count("*").alias("n"))
     counted = lookup(known, sizes, ["field"], "inner", at_most=len(fields))
-    wanted = F.least(F.lit(float(trees)), F.lit(trees * sample * SPARE) / F.col("n"))
-    copies = F.floor(wanted) + (_unit(key, seed) < wanted - F.floor(wanted)).cast("int")
-    dealt = F.transform(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: F.struct(F.xxhash64(F.col(key), t, F.lit(seed)).alias("h"), t.alias("tree")),
+    share = F.lit(sample * SPARE) / F.col("n")  # chance that a reading belongs to a given tree
+    # Draws of a tree number that leave a reading in ``share * trees`` different trees on average.
+    draws = F.log(1 - F.least(share, F.lit(0.999))) / math.log(1 - 1 / trees)
+    whole = F.floor(draws)
+    extra = (F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)) / 1_000_000 < draws - whole).cast("int")
+    some = F.transform(
+        F.sequence(F.lit(1), F.col("_draws")),
+        lambda i: F.pmod(F.xxhash64(F.col(key), i, F.lit(seed)), F.lit(trees)).cast("int"),
     )
-    chosen = F.slice(F.array_sort(dealt), F.lit(1), F.col("_copies"))
+    every = F.sequence(F.lit(0), F.lit(trees - 1))
     spread = (
-        counted.withColumn("_copies", copies.cast("int"))
-        .where(F.col("_copies") > 0)
-        .select("field", "x", F.explode(chosen).alias("_c"))
-        .select("field", "x", "_c.tree", F.xxhash64("_c.h").alias("h"))
+        counted.withColumn("_all", share >= 1)
+        .withColumn("_draws", (whole + extra).cast("int"))
+        .where(F.col("_all") | (F.col("_draws") > 0))
+        .select("field", "x", key, F.explode(F.when(F.col("_all"), every).otherwise(F.array_distinct(some))).alias("tree"))
+        .select("field", "x", "tree", F.xxhash64(key, "tree", F.lit(seed)).alias("h"))
     )
     return first_rows(spread, ["field", "tree"], [F.asc("h"), F.asc("x")], sample)
 
 
-def _unit(key: str, seed: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(key), F.lit(seed), F.lit("copies")), F.lit(1_000_000)) / 1_000_000
-
-
 def _expected_depth(n: float) -> float:
     """Mean depth of an unsuccessful search in a tree of n values."""
     if n <= 1:

@@ -3,7 +3,8 @@
 A series may hold a large part of all rows, so none of these sorts a whole series
 in one task. Rows are split by (series, time slice); each slice is ordered on its
 own, and a small table with one row per slice carries the state from slice to
-slice. Slice width is a parameter: it bounds what one task sorts.
+slice. Slice width is a parameter: it bounds what one task sorts. Series columns must
+not be null.
 """
 
 from __future__ import annotations
@@ -13,18 +14,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantwatch.functions.times import NTZ
+from plantwatch.functions.times import epoch_seconds
 
 SLICE = "_slice"
-DAY = "DAY"
+HOUR = 3600
 
 
-def time_slice(time: str, width: str = DAY) -> Column:
-    return F.date_trunc(width, F.col(time)).cast(NTZ)
+def time_slice(time: str, seconds: int = HOUR) -> Column:
+    """Number of the time slice; a slice should hold a few million rows of the busiest series at most."""
+    return F.floor(epoch_seconds(F.col(time)) / seconds)
 
 
 def with_previous(
-    rows: DataFrame, series: list[str], order: list[str], value: Column, name: str, width: str = DAY
+    rows: DataFrame, series: list[str], order: list[str], value: Column, name: str, width: int = HOUR
 ) -> DataFrame:
     """Adds the value of the row before, within the series and across slices."""
     sliced = rows.withColumn(SLICE, time_slice(order[0], width)).withColumn("_now", F.struct(value.alias("v")))
@@ -51,7 +53,7 @@ def numbered(rows: DataFrame, group: list[str], slice_of: Column, order: list[st
     """
     sliced = rows.withColumn(SLICE, slice_of)
     key = [*group, SLICE]
-    earlier = Window.partitionBy(*group).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*(group or [F.lit(0)])).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
         sliced.groupBy(*key)
         .agg(F.count("*").alias("_size"))
@@ -74,7 +76,7 @@ def runs(
     breaks: Callable[[Column, Column], Column],
     state: Column | None = None,
     total: Column | None = None,
-    width: str = DAY,
+    width: int = HOUR,
 ) -> DataFrame:
     """Consecutive rows of a series as runs; a new run starts where ``breaks(previous, current)``.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantwatch.functions import times as T
@@ -66,48 +66,67 @@ def labelled(rows: DataFrame, time: str, intervals: list[tuple] = ATTACK_WINDOWS
     return rows.withColumn(label, within_any(F.col(time), intervals).cast("int"))
 
 
-def labelled_by_table(
-    rows: DataFrame, intervals: DataFrame, time: str, label: str = "Attack", width_seconds: int = 3600
+def with_interval(
+    rows: DataFrame,
+    intervals: DataFrame,
+    time: str,
+    width_seconds: int = 3600,
+    copies: int = 8,
+    spread_by: list[str] | None = None,
 ) -> DataFrame:
-    """0/1 label by a table of closed intervals (start, end) of any size.
+    """Adds ``interval``: the earliest interval (start, end, target) of a table that holds the row, else null.
 
-    Intervals are cut at bucket edges, so rows and pieces meet on equal buckets; a
-    semi and an anti join keep each row once however many intervals hold it.
+    Made for interval tables of any size. Intervals are cut at bucket edges and reduced
+    to stretches that no earlier interval covers, which do not overlap. Rows and
+    stretches of a bucket are then ordered by time once, and each row looks back at the
+    last stretch begun: no pairs are formed. A crowded bucket is split into ``copies``
+    parts by ``spread_by`` (the time by default), each with all its stretches.
     """
-    bucket = F.floor(T.epoch_seconds(F.col(time)) / width_seconds)
-    rows = rows.withColumn("_bucket", bucket)
-    pieces = _pieces(intervals, width_seconds).select("_bucket", "_start", "_end")
-    hit = (rows["_bucket"] == pieces["_bucket"]) & rows[time].between(pieces["_start"], pieces["_end"])
-    inside = rows.join(pieces, hit, "left_semi").withColumn(label, F.lit(1))
-    outside = rows.where(F.col(time).isNotNull()).join(pieces, hit, "left_anti").withColumn(label, F.lit(0))
-    undated = rows.where(F.col(time).isNull()).withColumn(label, F.lit(0))
-    return inside.unionByName(outside).unionByName(undated).drop("_bucket")
-
-
-def targets_by_table(
-    rows: DataFrame, intervals: DataFrame, time: str, key: list[str], width_seconds: int = 3600
-) -> DataFrame:
-    """Target of the earliest interval of a table that holds each keyed row."""
-    rows = rows.withColumn("_bucket", F.floor(T.epoch_seconds(F.col(time)) / width_seconds))
-    pieces = _pieces(intervals, width_seconds).withColumnRenamed("_bucket", "_piece")
-    hit = (rows["_bucket"] == pieces["_piece"]) & rows[time].between(pieces["_start"], pieces["_end"])
-    return (
-        rows.join(pieces, hit)
-        .groupBy(*key)
-        .agg(F.min(F.struct("_start", "_end", "_target")).alias("_earliest"))
-        .select(*key, F.col("_earliest._target").alias("target"))
+    bucket = lambda c: F.floor(T.epoch_seconds(F.col(c)) / width_seconds)
+    target = F.col("target") if "target" in intervals.columns else F.lit(None).cast("string")
+    pieces = intervals.where(F.col("start") <= F.col("end")).select(
+        F.struct("start", "end", target.alias("target")).alias("interval"),
+        F.explode(F.sequence(bucket("start"), bucket("end"))).alias("_bucket"),
+    )
+    earlier = Window.partitionBy("_bucket").orderBy("interval").rowsBetween(Window.unboundedPreceding, -1)
+    begin, end, covered = F.col("interval.start"), F.col("interval.end"), F.col("_covered")
+    stretches = (
+        pieces.withColumn("_covered", F.max(end).over(earlier))
+        .where(covered.isNull() | (end > covered))
+        .select(
+            "interval",
+            "_bucket",
+            F.greatest(begin, covered).alias("_at"),
+            F.when(covered >= begin, 2).otherwise(0).alias("_turn"),  # after rows at a shared instant, or before
+            F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_copy"),
+        )
+    )
+    placed = rows.select(
+        F.struct("*").alias("_row"),
+        bucket(time).alias("_bucket"),
+        F.col(time).alias("_at"),
+        F.lit(1).alias("_turn"),
+        F.pmod(F.xxhash64(*(spread_by or [time])), F.lit(copies)).cast("int").alias("_copy"),
     )
+    so_far = Window.partitionBy("_bucket", "_copy").orderBy("_at", "_turn").rowsBetween(Window.unboundedPreceding, 0)
+    begun = (
+        placed.unionByName(stretches, allowMissingColumns=True)
+        .withColumn("interval", F.last("interval", ignorenulls=True).over(so_far))
+        .where(F.col("_turn") == 1)
+    )
+    return begun.select("_row.*", F.when(F.col("_at") <= end, F.col("interval")).alias("interval"))
 
 
-def _pieces(intervals: DataFrame, width_seconds: int) -> DataFrame:
-    first, final = (F.floor(T.epoch_seconds(F.col(c)) / width_seconds) for c in ("start", "end"))
-    target = F.col("target") if "target" in intervals.columns else F.lit(None).cast("string")
-    return intervals.where(F.col("start") <= F.col("end")).select(
-        F.explode(F.sequence(first, final)).alias("_bucket"),
-        F.col("start").alias("_start"),
-        F.col("end").alias("_end"),
-        target.alias("_target"),
-    )
+def labelled_by_table(rows: DataFrame, intervals: DataFrame, time: str, label: str = "Attack", width_seconds: int = 3600) -> DataFrame:
+    """0/1 label by a table of closed intervals; overlapping intervals count once."""
+    found = with_interval(rows, intervals, time, width_seconds)
+    return found.withColumn(label, F.col("interval").isNotNull().cast("int")).drop("interval")
+
+
+def targets_by_table(rows: DataFrame, intervals: DataFrame, time: str, width_seconds: int = 3600) -> DataFrame:
+    """Target of the earliest interval of a table that holds the row."""
+    found = with_interval(rows, intervals, time, width_seconds)
+    return found.withColumn("target", F.col("interval.target")).drop("interval")
 
 
 def numeric_columns(rows: DataFrame) -> list[str]:

@@ -71,8 +71,11 @@ def last_known(readings: DataFrame, series: list[str], tie: str | None = None, v
 
 
 def _latest(readings: DataFrame, series: list[str], tie: str | None, value: str) -> DataFrame:
-    newest = F.max(F.struct(F.col(TIME), *([F.col(tie)] if tie else []), F.col(value)))
-    return readings.groupBy(*series).agg(newest.alias("_newest")).select(*series, f"_newest.{TIME}", f"_newest.{value}")
+    grouped = readings.groupBy(*series)
+    if tie is None:  # times are unique in a series: two fixed-width maxima, a hash aggregate
+        return grouped.agg(F.max(TIME).alias(TIME), F.max_by(value, TIME).alias(value))
+    newest = F.max(F.struct(TIME, tie, value)).alias("_newest")
+    return grouped.agg(newest).select(*series, f"_newest.{TIME}", f"_newest.{value}")
 
 
 def mean(readings: DataFrame, by: list[str] | None = None, value: str = NUMBER) -> DataFrame:

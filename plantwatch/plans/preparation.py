@@ -107,6 +107,19 @@ def label_intervals_from_table(spark, folder):
     return P.labelled_by_table(events, windows, "ts", "attack").select("event_id", "attack")
 
 
+@query("""WITH windows AS (SELECT event_id AS w, ts AS s, ts + to_minutes(10 + event_id % 50) AS e, event_type || ' ' || CAST(event_id AS VARCHAR) AS target FROM events WHERE value > 150)
+SELECT event_id, (SELECT min_by(target, s) FROM windows WHERE ts BETWEEN s AND e) AS target FROM events""")
+def interval_targets_from_table(spark, folder):
+    """Overlapping intervals of different lengths, one after each large value: the earliest that still runs."""
+    events = table(spark, folder, "events")
+    minutes = F.make_dt_interval(mins=(10 + F.col("event_id") % 50).cast("int"))
+    windows = events.where(F.col("value") > 150).select(
+        F.col("ts").alias("start"), (F.col("ts") + minutes).cast(T.NTZ).alias("end"),
+        F.concat("event_type", F.lit(" "), F.col("event_id").cast("string")).alias("target"),
+    )
+    return P.targets_by_table(events, windows, "ts").select("event_id", "target")
+
+
 @query(f"""WITH {LONG} SELECT tie, time + INTERVAL 8 HOUR AS plant_time, strftime(time + INTERVAL 8 HOUR, '%Y-%m-%d %I:%M:%S %p') AS text_12h,
 date_trunc('second', time + INTERVAL 8 HOUR) AS parsed_12h FROM long""")
 def tz_and_12h_text(spark, folder):
