@@ -49,10 +49,9 @@ def in_plant_time(rows: DataFrame, source: str, target: str = "GMT +8") -> DataF
 
 
 def within_any(time: Column, intervals: list[tuple]) -> Column:
-    """True inside any of the closed intervals; overlaps count once."""
-    return reduce(
-        lambda any_of, w: any_of | time.between(T.at(w[0]), T.at(w[1])), intervals, F.lit(False)
-    )
+    """True inside any of the closed intervals; overlaps count once and a missing time is outside."""
+    inside = reduce(lambda any_of, w: any_of | time.between(T.at(w[0]), T.at(w[1])), intervals, F.lit(False))
+    return F.coalesce(inside, F.lit(False))
 
 
 def interval_target(time: Column, intervals: list[tuple]) -> Column:
