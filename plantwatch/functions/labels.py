@@ -72,7 +72,8 @@ def title(name: Column) -> Column:
 
 
 def percent_text(share: Column, digits: int = 2) -> Column:
-    return F.format_string(f"%.{digits}f%%", share * 100)
+    """Share in percent; ties go to the even digit, as the consumers of these texts expect."""
+    return F.format_string(f"%.{digits}f%%", F.bround(share * 100, digits))
 
 
 def sensor_kind(field: Column) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantwatch.functions.labels import band, code_text_or
+from plantwatch.functions.labels import band, code_text_or, percent_text
 from plantwatch.functions.numbers import at_least_zero, lag_megabytes, ratio
 from plantwatch.functions.times import NTZ, epoch_micros, epoch_seconds, seconds_between
 from plantwatch.schema import COMPRESSION_RATIO, CONSUMERS, PRODUCERS, REPLICATION_FACTOR, RETENTION_HOURS
@@ -229,40 +229,44 @@ def _system(every: str) -> list[Column]:
 
 
 def alerts(ticks: DataFrame, every: str) -> DataFrame:
-    """Alerts of the three conditions, as rows of one table."""
-    at = epoch_seconds(F.col("time")).cast("string")
-    consumers, producers, system = (f(ticks, every) for f in (consumer_metrics, producer_metrics, system_metrics))
-    name, lag = F.col("consumer_name"), F.col("lag_records").cast("string")
-    lagging = consumers.where(F.col("lag_records") > 500).select(
-        F.concat(F.lit("CRITICAL_LAG_"), name, F.lit("_"), at).alias("alert_id"),
-        F.col("time").alias("timestamp"),
-        F.lit("critical_consumer_lag").alias("alert_type"),
-        F.lit("critical").alias("severity"),
-        name.alias("component"),
-        F.col("lag_records").cast("double").alias("value"),
-        F.concat(F.lit("CRITICAL: Consumer "), name, F.lit(" has "), lag, F.lit(" records lag")).alias("message"),
-    )
-    score = F.col("system_health_score")
-    degraded = system.where(score < 70).select(
-        F.concat(F.lit("SYSTEM_HEALTH_"), at).alias("alert_id"),
-        F.col("time").alias("timestamp"),
-        F.lit("system_health_degraded").alias("alert_type"),
-        F.lit("high").alias("severity"),
-        F.lit("system").alias("component"),
-        score.alias("value"),
-        F.format_string("System health degraded to %.1f%%", score).alias("message"),
-    )
-    maker, rate = F.col("producer_name"), F.col("error_rate")
-    failing = producers.where(rate > 0.05).select(
-        F.concat(F.lit("PRODUCER_ERRORS_"), maker, F.lit("_"), at).alias("alert_id"),
-        F.col("time").alias("timestamp"),
-        F.lit("producer_errors").alias("alert_type"),
-        F.lit("high").alias("severity"),
-        maker.alias("component"),
-        rate.alias("value"),
-        F.format_string("Producer %s error rate: %.2f%%", maker, rate * 100).alias("message"),
+    """Alerts of the three conditions as rows of one table, read off one report per tick."""
+    raised = alerts_of(F.col("timestamp"), F.col("system"), F.col("consumers"), F.col("producers"))
+    return report(ticks, every).select(F.inline(raised))
+
+
+def alerts_of(time: Column, system: Column, consumers: Column, producers: Column) -> Column:
+    """Alerts of one report as an array of alert structs."""
+    at = epoch_seconds(time).cast("string")
+
+    def alert(prefix, name, kind, severity, component, value, message):
+        return F.struct(
+            F.concat(F.lit(prefix), *([name, F.lit("_")] if name is not None else []), at).alias("alert_id"),
+            time.alias("timestamp"),
+            F.lit(kind).alias("alert_type"),
+            F.lit(severity).alias("severity"),
+            component.alias("component"),
+            value.cast("double").alias("value"),
+            message.alias("message"),
+        )
+
+    def lagging(c):
+        name, lag = c["consumer_name"], c["lag_records"]
+        text = F.concat(F.lit("CRITICAL: Consumer "), name, F.lit(" has "), lag.cast("string"), F.lit(" records lag"))
+        return alert("CRITICAL_LAG_", name, "critical_consumer_lag", "critical", name, lag, text)
+
+    def failing(p):
+        name, rate = p["producer_name"], p["error_rate"]
+        text = F.concat(F.lit("Producer "), name, F.lit(" error rate: "), percent_text(rate))
+        return alert("PRODUCER_ERRORS_", name, "producer_errors", "high", name, rate, text)
+
+    score = system["system_health_score"]
+    text = F.format_string("System health degraded to %.1f%%", score)
+    degraded = alert("SYSTEM_HEALTH_", None, "system_health_degraded", "high", F.lit("system"), score, text)
+    return F.concat(
+        F.transform(F.filter(consumers, lambda c: c["lag_records"] > 500), lagging),
+        F.filter(F.array(F.when(score < 70, degraded)), lambda a: a.isNotNull()),
+        F.transform(F.filter(producers, lambda p: p["error_rate"] > 0.05), failing),
     )
-    return lagging.unionByName(degraded).unionByName(failing)
 
 
 def dashboard_summary(ticks: DataFrame, every: str) -> DataFrame:

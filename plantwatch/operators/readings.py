@@ -99,14 +99,23 @@ def top(readings: DataFrame, n: int, value: str, tie: str) -> DataFrame:
 
 
 def windowed(readings: DataFrame, every: str, by: list[str] | None = None, slide: str | None = None) -> DataFrame:
-    """Row count and value sum per time window; empty windows give no row."""
-    pane = F.window(TIME, every, slide) if slide else F.window(TIME, every)
-    return (
-        readings.groupBy(pane.alias("pane"), *(by or []))
+    """Row count and value sum per time window; empty windows give no row.
+
+    Sliding windows are added up from panes one slide long, so a row is counted once
+    however many windows hold it; ``every`` is a multiple of ``slide``.
+    """
+    by = by or []
+    totals = (
+        readings.groupBy(F.window(TIME, slide or every).alias("pane"), *by)
         .agg(F.count("*").alias("n"), F.sum(NUMBER).alias("total"))
-        .select(
-            F.col("pane.start").alias("window_start"), F.col("pane.end").alias("window_end"), *(by or []), "n", "total"
-        )
+        .select(F.col("pane.start").alias("window_start"), F.col("pane.end").alias("window_end"), *by, "n", "total")
+    )
+    if slide is None:
+        return totals
+    return (
+        totals.groupBy(F.window("window_start", every, slide).alias("pane"), *by)
+        .agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+        .select(F.col("pane.start").alias("window_start"), F.col("pane.end").alias("window_end"), *by, "n", "total")
     )
 
 
