@@ -16,6 +16,7 @@ from plantwatch.functions.numbers import at_least_zero, lag_megabytes, ratio
 from plantwatch.functions.times import NTZ, epoch_micros, epoch_seconds, seconds_between
 from plantwatch.schema import COMPRESSION_RATIO, CONSUMERS, PRODUCERS, REPLICATION_FACTOR, RETENTION_HOURS
 
+COUNTS = ["messages", "bytes", "errors", "latency_us"]
 LAG_STATUS = [(100.0, "warning"), (500.0, "critical")]
 
 
@@ -74,6 +75,24 @@ def cells(messages: DataFrame, commits: DataFrame, every: str) -> DataFrame:
     return cells_of(facts.select("f.*"), every)
 
 
+def offsets_of(cells: DataFrame) -> DataFrame:
+    """Highest offsets and latest arrival per partition: all that later ticks need of earlier ones."""
+    return cells.groupBy("topic", "partition").agg(
+        *[F.max(c).alias(c) for c in ("offset", "committed", "arrived")]
+    )
+
+
+def with_offsets(cells: DataFrame, offsets: DataFrame, at: Column) -> DataFrame:
+    """Cells with known offsets placed at an earlier tick, from where they carry forward."""
+    placed = offsets.select(
+        at.alias("time"), "topic", "partition", "offset", "committed", "arrived",
+        *[F.lit(0).cast("bigint").alias(c) for c in COUNTS],
+    )
+    return cells.unionByName(placed).groupBy("time", "topic", "partition").agg(
+        *[F.max(c).alias(c) for c in ("offset", "committed", "arrived")], *[F.sum(c).alias(c) for c in COUNTS]
+    )
+
+
 def tick_range(messages: DataFrame, every: str) -> Column:
     """First and last tick that has an arrival, as a scalar subquery over one column."""
     bounds = messages.agg(F.min("arrival_time").alias("a"), F.max("arrival_time").alias("b"))
@@ -114,7 +133,7 @@ def topic_ticks(cells: DataFrame, every: str, ticks: Column) -> DataFrame:
             "_progress": F.when(own, F.col("_committed") - F.col("_earlier")).otherwise(zero),
             "_arrived": F.when(begun, F.col("_arrived")),
             "_seen": begun & F.col("_produced").isNotNull(),
-            **{c: F.when(own, F.col(c)).otherwise(zero) for c in ("messages", "bytes", "errors", "latency_us")},
+            **{c: F.when(own, F.col(c)).otherwise(zero) for c in COUNTS},
             "time": F.col("_tick"),
         }
     )

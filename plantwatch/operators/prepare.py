@@ -34,6 +34,11 @@ def column_catalogue(rows: DataFrame) -> DataFrame:
     )
 
 
+def size_of(rows: DataFrame) -> DataFrame:
+    """Number of rows and columns."""
+    return rows.agg(F.count("*").alias("n_rows")).withColumn("n_columns", F.lit(len(rows.columns)))
+
+
 def without_system_columns(rows: DataFrame) -> DataFrame:
     """Drops columns with a leading underscore except ``_time``."""
     return rows.select(*[F.col(f"`{c}`") for c in rows.columns if c == "_time" or not c.startswith("_")])

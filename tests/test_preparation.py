@@ -31,6 +31,12 @@ def test_renaming_and_unmapped_columns(spark):
     assert [r["column_name"] for r in P.column_catalogue(frame).collect()] == frame.columns
 
 
+def test_size_and_numeric_columns(rows):
+    frame = rows([(1, "a", 1.0), (2, "b", None)], "i int, s string, d double")
+    assert tuple(P.size_of(frame).first()) == (2, 3)
+    assert P.numeric_columns(frame) == ["i", "d"]
+
+
 def test_system_columns_are_dropped(spark):
     frame = spark.range(1).select(F.lit(1).alias("_time"), F.lit(1).alias("_start"), F.lit(1).alias("x"))
     assert P.without_system_columns(frame).columns == ["_time", "x"]
