@@ -81,7 +81,7 @@ def row_alerts(rows: DataFrame, attack_type: Column, is_flow: Column) -> DataFra
 
 
 def sequential_ids(alerts: DataFrame, time: str, tie: str) -> DataFrame:
-    """``ALERT_000001`` onwards per day, numbered in hour slices."""
+    """``ALERT_000001`` onwards per day, numbered in time slices."""
     dated = alerts.withColumn("_day", F.to_date(time))
     placed = numbered(dated, ["_day"], time_slice(time), [time, tie], "_n")
     return placed.withColumn("alert_id", F.concat(F.lit("ALERT_"), F.lpad(F.col("_n").cast("string"), 6, "0"))).drop("_day", "_n")

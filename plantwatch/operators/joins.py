@@ -15,7 +15,7 @@ def lookup(
     how: str = "left",
     at_most: int | None = None,
     spread_by: list[str] | None = None,
-    copies: int = 32,
+    copies: int = 256,
 ) -> DataFrame:
     """Join facts to one dimension row per key.
 
@@ -23,7 +23,8 @@ def lookup(
     (a declared list of fields, a fixed code table). Within ``BROADCAST_ROWS`` the
     dimension is broadcast. Without such a bound every dimension row is repeated
     ``copies`` times and the facts of one key are spread over the copies, so a hot
-    key is shared by that many tasks; facts never multiply, as each meets one copy.
+    key is shared by that many tasks (and Spark splits what is still too large while it
+    runs); facts never multiply, as each meets one copy.
     """
     if at_most is not None and at_most <= BROADCAST_ROWS:
         return facts.join(F.broadcast(dimension), on, how)

@@ -17,16 +17,16 @@ from pyspark.sql import functions as F
 from plantwatch.functions.times import epoch_seconds
 
 SLICE = "_slice"
-HOUR = 3600
+SLICE_SECONDS = 600
 
 
-def time_slice(time: str, seconds: int = HOUR) -> Column:
+def time_slice(time: str, seconds: int = SLICE_SECONDS) -> Column:
     """Number of the time slice; a slice should hold a few million rows of the busiest series at most."""
     return F.floor(epoch_seconds(F.col(time)) / seconds)
 
 
 def with_previous(
-    rows: DataFrame, series: list[str], order: list[str], value: Column, name: str, width: int = HOUR
+    rows: DataFrame, series: list[str], order: list[str], value: Column, name: str, width: int = SLICE_SECONDS
 ) -> DataFrame:
     """Adds the value of the row before, within the series and across slices."""
     sliced = rows.withColumn(SLICE, time_slice(order[0], width)).withColumn("_now", F.struct(value.alias("v")))
@@ -76,7 +76,7 @@ def runs(
     breaks: Callable[[Column, Column], Column],
     state: Column | None = None,
     total: Column | None = None,
-    width: int = HOUR,
+    width: int = SLICE_SECONDS,
 ) -> DataFrame:
     """Consecutive rows of a series as runs; a new run starts where ``breaks(previous, current)``.
 

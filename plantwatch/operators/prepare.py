@@ -75,7 +75,7 @@ def with_interval(
     intervals: DataFrame,
     time: str,
     width_seconds: int = 3600,
-    copies: int = 8,
+    copies: int = 32,
     spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Adds ``interval``: the earliest interval (start, end, target) of a table that holds the row, else null.

@@ -59,6 +59,33 @@ def anomaly_rates(labels: DataFrame) -> DataFrame:
     )
 
 
+def wide_anomaly_rates(rows: DataFrame, columns: list[str], threshold: float = 3.0) -> DataFrame:
+    """Anomaly rates of the columns of wide rows: two passes over the rows, which are never unpivoted."""
+    s = F.col("_statistics")
+    flags = {
+        c: anomaly_flag(F.col(c), zscore(F.col(c), s[c]["mean"], s[c]["std"]), threshold) for c in columns
+    }
+    rated = [
+        F.struct(
+            F.lit(c).alias(FIELD),
+            F.avg(y).alias("anomaly_rate"),
+            F.count(y).alias("n"),
+            F.sum(y).alias("anomalies"),
+        )
+        for c, y in flags.items()
+    ]
+    counted = rows.select(*columns).withColumn("_statistics", column_statistics(rows, columns)).agg(F.array(*rated).alias("rates"))
+    return counted.select(F.inline("rates"))
+
+
+def column_statistics(rows: DataFrame, columns: list[str]) -> Column:
+    """Mean and population std of many columns as one scalar subquery."""
+    measured = [
+        F.struct(F.avg(finite(F.col(c))).alias("mean"), F.stddev_pop(finite(F.col(c))).alias("std")).alias(c) for c in columns
+    ]
+    return rows.agg(F.struct(*measured).alias("s")).scalar()
+
+
 def gated(rates: DataFrame, low: float = 0.01, high: float = 0.5) -> DataFrame:
     """Fields whose anomaly rate lies strictly between the bounds."""
     return rates.where((F.col("anomaly_rate") > low) & (F.col("anomaly_rate") < high))
@@ -79,18 +106,10 @@ def wide_statistics(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 def standardised(rows: DataFrame, columns: list[str], training: DataFrame | None = None) -> DataFrame:
     """Columns scaled by the training rows' mean and population std; a constant column is only centred."""
-    measured = (training if training is not None else rows).agg(
-        F.struct(
-            *[
-                F.struct(F.avg(finite(F.col(c))).alias("mean"), F.stddev_pop(finite(F.col(c))).alias("std")).alias(c)
-                for c in columns
-            ]
-        ).alias("s")
-    )
     s = F.col("_training")
     scaled = {
         c: (F.coalesce(finite(F.col(c)), s[c]["mean"]) - s[c]["mean"])
         / F.coalesce(F.nullif(s[c]["std"], F.lit(0.0)), F.lit(1.0))
         for c in columns
     }
-    return rows.withColumn("_training", measured.scalar()).withColumns(scaled).drop("_training")
+    return rows.withColumn("_training", column_statistics(training if training is not None else rows, columns)).withColumns(scaled).drop("_training")

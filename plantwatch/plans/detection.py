@@ -21,7 +21,6 @@ from plantwatch.schema import ATTACK_TYPES, DETECTOR_LABELS
 from plantwatch.sources.adapters import (
     EVENT_FIELDS, LINE_SENSORS, PLANT_FIELDS, plant_readings, readings, table, wide_rows,
 )
-from plantwatch.operators.reshape import to_numeric_points
 
 
 def banded(spark, folder):
@@ -53,11 +52,9 @@ SELECT field, avg(y) AS anomaly_rate, count(y) AS n, sum(y)::BIGINT AS anomalies
 
 
 def feature_rates(spark, folder):
-    """Anomaly rates of event and line item sensors together."""
-    long = readings(spark, folder).select("field", "value_num")
-    wide = to_numeric_points(wide_rows(spark, folder), "t_stamp", [], LINE_SENSORS).select("field", "value_num")
-    labels = S.feature_labels(long.unionByName(wide), EVENT_FIELDS + LINE_SENSORS, threshold=2.5)
-    return S.anomaly_rates(labels)
+    """Anomaly rates of event fields, which are long, and line item sensors, which are wide."""
+    long = S.anomaly_rates(S.feature_labels(readings(spark, folder).select("field", "value_num"), EVENT_FIELDS, threshold=2.5))
+    return long.unionByName(S.wide_anomaly_rates(wide_rows(spark, folder), LINE_SENSORS, threshold=2.5))
 
 
 @query(f"WITH {_RATES} SELECT field, round(anomaly_rate, 8) AS anomaly_rate, n, anomalies FROM rates")

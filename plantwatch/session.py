@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -35,12 +36,14 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="plantwatch-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """New folder under the cluster's checkpoint folder; a local one only where none is named."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="plantwatch-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return os.path.join(root, purpose, uuid.uuid4().hex)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return os.path.join(root or _local_root(), purpose, uuid.uuid4().hex)

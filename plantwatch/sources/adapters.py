@@ -69,7 +69,7 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
     """Events as messages of two topics with three partitions each.
 
     Offsets number the messages of a partition in event order. Counting is done per
-    day slice, so no task orders a whole partition.
+    time slice, so no task orders a whole partition.
     """
     from plantwatch.operators.ordered import numbered, time_slice
 

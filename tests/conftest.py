@@ -9,12 +9,10 @@ from plantwatch.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     os.environ.setdefault("TZ", "UTC")
     session = local_session(4, "plantwatch-tests")
     session.conf.set("spark.sql.shuffle.partitions", "4")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 
