@@ -17,11 +17,13 @@ from plantwatch.llm.common import read_table, saved
 TREES = 8
 #: Vectors, chosen by digest of vec_id, that the trees are fitted on (expected number).
 SAMPLE_ROWS = 100_000
-#: Sample vectors to a leaf, and indexed vectors of a leaf that one task compares at once.
-LEAF_ROWS = 1024
+#: Sample vectors to a leaf at most (fewer, where a tree would have under 64 leaves), and indexed
+#: vectors of a leaf that one task compares at once.
+LEAF_ROWS = 512
+LEAST_LEAVES = 64
 CHUNK_ROWS = 8192
 #: A search ends when the leaves taken, over all trees, hold this share of the vectors.
-SEARCH_SHARE = 1.0
+SEARCH_SHARE = 1.2
 NEIGHBOURS = 10
 QUERY_STEP = 100
 SEED = 17
@@ -132,7 +134,8 @@ def nearest(
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     matrix = np.array(sample["vector"].to_pylist(), np.float64)
     rng = np.random.default_rng(seed)
-    forest = [grow(matrix, leaf_rows, rng) for _ in range(trees)]
+    fine_rows = max(1, min(leaf_rows, len(matrix) // LEAST_LEAVES))
+    forest = [grow(matrix, fine_rows, rng) for _ in range(trees)]
 
     def vectors_of(batch: pa.RecordBatch) -> np.ndarray:
         lists = batch.column("vector")
