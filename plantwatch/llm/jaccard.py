@@ -14,7 +14,8 @@ The sum of coordinate differences never exceeds the number of shingles in which
 pairs further apart than (n + m) / 7 are cut off by the triangle inequality. The document nearest to
 the region's centre is its pivot; the documents inside its radius are compared with it exactly, and
 those that link form one component, inside which nothing more needs comparing. What is left of the
-regions, with large ones split again into cells, is joined exactly across components.
+regions, with large ones split again into cells, is joined exactly across components. Before two
+texts are read, finer coordinates of the same kind (parities of shingle counts) must allow the pair.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ SHINGLE = 5
 COMMON = 100
 COMMON_KEPT = 1_000_000
 BUCKETS = 64
+#: Bits of a set's parity sketch; two sets differ in at least as many shingles as their sketches in bits.
+BITS = 2048
 #: Postings after which a task passes on what it has gathered.
 FLUSH = 1_000_000
 #: Documents of a region (or compared with one pivot) that one task joins.
@@ -93,6 +96,13 @@ def class_of(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).view(np.int64))
 
 
+def coordinates(shingles: np.ndarray) -> bytes:
+    """Counts by hash bucket (a byte each, at most 255), then the parities of finer counts, as bits."""
+    counts = np.bincount((shingles >> np.uint64(32)).astype(np.int64) % BUCKETS, minlength=BUCKETS)
+    odd = np.bincount((shingles >> np.uint64(8)).astype(np.int64) % BITS, minlength=BITS) & 1
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def windows(sets: list[np.ndarray], common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(set, shingle) of each set's nearest pivots: the first n - ceil(0.75 n) + 1, common ones last."""
     counts = np.fromiter(map(len, sets), np.int64, len(sets))
@@ -205,7 +215,7 @@ def _regions(rows: DataFrame, buckets: int, common: np.ndarray) -> DataFrame:
         for ids, sets in _sets_of(batches):
             classes = np.array([class_of(s) for s in sets], np.int64)
             sizes = [len(s) for s in sets]
-            marks = [np.minimum(np.bincount((s >> np.uint64(32)).astype(np.int64) % BUCKETS, minlength=BUCKETS), 255).astype(np.uint8).tobytes() for s in sets]
+            marks = [coordinates(x) for x in sets]
             place = ((classes >> 8) % buckets).astype(np.int32)
             yield _sent(place, np.zeros(len(ids)), marks, ids, classes, sizes)
             alone = np.unique(classes, return_index=True)[1]
@@ -259,75 +269,100 @@ def _sent(*columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=_SENT)
 
 
-def _near(x: np.ndarray, n: np.ndarray, y: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Pairs (row of x, row of y) that sizes and coordinates allow to be linked."""
-    fits = (4 * n[:, None] >= 3 * m[None, :]) & (4 * m[None, :] >= 3 * n[:, None])
-    a, b = np.nonzero(fits)
-    out = []
-    for i in range(0, len(a), 200_000):
-        p, q = a[i : i + 200_000], b[i : i + 200_000]
-        apart = np.abs(x[p].astype(np.int16) - y[q]).sum(1)
-        ok = 7 * apart <= n[p] + m[q]
-        out.append(np.stack([p[ok], q[ok]]))
-    return np.concatenate(out, 1) if out else np.zeros((2, 0), np.int64)
-
-
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
-    """The rows of each cell, from batches sorted by cell; a cell has at most about 2 * CELL_ROWS rows."""
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray]]:
+    """Whole cells, many at a time, from batches sorted by cell: their columns and where each cell starts."""
     held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
+
+    def whole(last: bool) -> tuple[dict[str, np.ndarray], np.ndarray]:
+        nonlocal held
         table = pa.Table.from_batches(held).combine_chunks()
         keys = np.stack([table[c].to_numpy() for c in ("shingle", "i", "j")])
         edge = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(0)))
-        done = int(edge[-1])
-        if done:
-            yield from _split(table.slice(0, done), edge)
+        done = len(table) if last else int(edge[-1])
         held = table.slice(done).to_batches()
-    if held:
-        table = pa.Table.from_batches(held).combine_chunks()
-        keys = np.stack([table[c].to_numpy() for c in ("shingle", "i", "j")])
-        yield from _split(table, np.append(np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(0))), len(table)))
+        part = table.slice(0, done)
+        columns = {c: part[c].to_numpy() for c in part.column_names if c != "raw"}
+        columns["raw"] = np.frombuffer(b"".join(part["raw"].to_pylist()), np.uint8).reshape(-1, BUCKETS)
+        return columns, edge[edge < done]
 
-
-def _split(table: pa.Table, edge: np.ndarray) -> Iterator[dict[str, np.ndarray]]:
-    columns = {c: table[c].to_numpy() for c in table.column_names if c != "raw"}
-    columns["raw"] = np.frombuffer(b"".join(table["raw"].to_pylist()), np.uint8).reshape(-1, BUCKETS)
-    for a, b in zip(edge.tolist(), edge[1:].tolist()):
-        yield {c: v[a:b] for c, v in columns.items()}
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            found = whole(last=False)
+            if len(found[1]):
+                yield found
+    if held:
+        yield whole(last=True)
 
 
 def _pivot_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In each region, the documents that may link with the one nearest to its centre."""
-    for cell in _cells(batches):
-        shape = cell["raw"] / np.maximum(1, cell["n"])[:, None]
-        centre = int(np.abs(shape - np.median(shape, 0)).sum(1).argmin())
-        one = slice(centre, centre + 1)
-        rows = _near(cell["raw"], cell["n"], cell["raw"][one], cell["n"][one])[0]
-        rows = rows[rows != centre]
-        if len(rows):
-            apart = np.abs(cell["raw"][rows].astype(np.int16) - cell["raw"][one]).sum(1) / (cell["n"][rows] + cell["n"][centre])
-            yield pa.RecordBatch.from_pydict({"b": np.full(len(rows), cell["class"][centre]), "a": cell["class"][rows], "apart": apart})
+    for cell, first in _cells(batches):
+        counts = np.diff(np.append(first, len(cell["n"])))
+        region = np.repeat(np.arange(len(first)), counts)
+        n, raw = cell["n"].astype(np.int64), cell["raw"]
+        shape = raw.astype(np.float32) / n[:, None].astype(np.float32)
+        centre = np.add.reduceat(shape, first, axis=0) / counts[:, None]
+        off = np.abs(shape - centre[region]).sum(1)
+        pivot = np.lexsort((cell["class"], off, region))[first][region]
+        fits = (pivot != np.arange(len(n))) & (4 * n >= 3 * n[pivot]) & (4 * n[pivot] >= 3 * n)
+        rows = np.flatnonzero(fits)
+        rows = rows[7 * np.abs(raw[rows].astype(np.int16) - raw[pivot[rows]]).sum(1) <= n[rows] + n[pivot[rows]]]
+        pairs = np.unique(np.stack([cell["class"][rows], cell["class"][pivot[rows]]]), axis=1)
+        yield pa.RecordBatch.from_pydict({"a": pairs[0], "b": pairs[1]})
 
 
 def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In each cell, the pairs of different components that may link."""
-    for cell in _cells(batches):
-        left = np.flatnonzero(cell["own"] == cell["i"])
-        right = np.flatnonzero(cell["own"] == cell["j"])
+    for cell, first in _cells(batches):
+        counts = np.diff(np.append(first, len(cell["n"])))
         group = cell["component"]
-        if group.min() == group.max():
-            continue
-        for start in range(0, len(left), 512):
-            rows = left[start : start + 512]
-            p, q = _near(cell["raw"][rows], cell["n"][rows], cell["raw"][right], cell["n"][right])
-            a, b = rows[p], right[q]
-            ok = (group[a] != group[b]) & ((cell["class"][a] < cell["class"][b]) | (cell["i"][a] != cell["j"][a]))
-            if ok.any():
-                a, b = cell["class"][a[ok]], cell["class"][b[ok]]
-                yield pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        open_ = np.minimum.reduceat(group, first) != np.maximum.reduceat(group, first)
+        found = [np.zeros((2, 0), np.int64)]
+        whole = open_ & (cell["i"][first] == cell["j"][first])
+        for size in np.unique(counts[whole]).tolist():
+            starts = first[whole & (counts == size)]
+            left, right = np.triu_indices(size, 1)
+            step = max(1, 400_000 // len(left))
+            for k in range(0, len(starts) if size <= 256 else 0, step):
+                a, b = ((starts[k : k + step, None] + side).ravel() for side in (left, right))
+                found.append(_may_link(cell, a, b))
+        for start, size in zip(first[open_].tolist(), counts[open_].tolist()):
+            if size > 256 or cell["i"][start] != cell["j"][start]:
+                own = cell["own"][start : start + size]
+                left, right = (start + np.flatnonzero(own == cell[c][start]) for c in ("i", "j"))
+                for k in range(0, len(left), 64):
+                    a, b = (x.ravel() for x in np.meshgrid(left[k : k + 64], right, indexing="ij"))
+                    found.append(_may_link(cell, a, b))
+        pairs = np.concatenate(found, 1)
+        if pairs.shape[1]:
+            pairs = np.unique(np.sort(pairs, 0), axis=1)
+            yield pa.RecordBatch.from_pydict({"a": pairs[0], "b": pairs[1]})
+
+
+def _may_link(cell: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of the pairs of rows, the classes of those that components, sizes and coordinates allow to link."""
+    n, group = cell["n"].astype(np.int64), cell["component"]
+    ok = (group[a] != group[b]) & (4 * n[a] >= 3 * n[b]) & (4 * n[b] >= 3 * n[a])
+    a, b = a[ok], b[ok]
+    ok = 7 * np.abs(cell["raw"][a].astype(np.int16) - cell["raw"][b]).sum(1) <= n[a] + n[b]
+    return np.stack([cell["class"][a[ok]], cell["class"][b[ok]]])
+
+
+def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose parity sketches allow a link, with the share of bits in which they differ."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, BITS // 64) for c in ("_x", "_y"))
+                apart, sizes = np.bitwise_count(x ^ y).sum(1).astype(np.int64), batch.column("_sizes").to_numpy()
+                ok = 7 * apart <= sizes
+                yield pa.RecordBatch.from_pydict({"a": batch.column("a").to_numpy()[ok], "b": batch.column("b").to_numpy()[ok], "apart": apart[ok] / sizes[ok]})
+
+    sides = [classes.select(F.col("class").alias(c), F.col("n").alias(f"_n{c}"), F.col("bits").alias(f)) for c, f in (("a", "_x"), ("b", "_y"))]
+    both = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "_x", "_y", (F.col("_na") + F.col("_nb")).cast("long").alias("_sizes"))
+    return saved(both.mapInArrow(keep, "a bigint, b bigint, apart double"), "possible")
 
 
 def _linked(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
@@ -387,7 +422,8 @@ def near_groups(docs: DataFrame, common: int = COMMON, common_kept: int = COMMON
     members = found.where("kind = 0").select("doc_id", "class", "n", "raw")
     classes = saved(
         members.where("n > 0").groupBy("class").agg(F.min(F.struct("doc_id", "n", "raw")).alias("_r"))
-        .select("class", text_key(F.col("_r.doc_id")).alias("_id"), F.col("_r.n").alias("n"), F.col("_r.raw").alias("raw")), "classes"
+        .select("class", text_key(F.col("_r.doc_id")).alias("_id"), F.col("_r.n").alias("n"), F.expr(f"substring(_r.raw, 1, {BUCKETS})").alias("raw"),
+                F.expr(f"substring(_r.raw, {BUCKETS + 1}, {BITS // 8})").alias("bits")), "classes"
     )
     postings = found.where("kind = 1").select(F.col("doc_id").alias("shingle"), "class")
     sizes = postings.groupBy("shingle").agg(F.ceil(F.count(F.lit(1)) / F.lit(cell_rows)).cast("int").alias("parts"))
@@ -402,17 +438,15 @@ def near_groups(docs: DataFrame, common: int = COMMON, common_kept: int = COMMON
     order = ["shingle", "i", "j"]
     to_pivots = own_cell.select(*order, "class", "n", "raw").repartition(*order).sortWithinPartitions(*order)
     tried = Window.partitionBy("a").orderBy("apart", "b")
-    stars = (
-        to_pivots.mapInArrow(_pivot_pairs, "b bigint, a bigint, apart double").groupBy("a", "b").agg(F.min("apart").alias("apart"))
-        .withColumn("_nth", F.row_number().over(tried)).where(F.col("_nth") <= PIVOTS_TRIED).select("a", "b")
-    )
+    stars = _possible(to_pivots.mapInArrow(_pivot_pairs, "a bigint, b bigint").distinct(), classes)
+    stars = stars.withColumn("_nth", F.row_number().over(tried)).where(F.col("_nth") <= PIVOTS_TRIED).select("a", "b")
     links = _linked(stars, classes, rows)
     first = components(links)
     grouped = placed.join(first.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     every = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least("own", k).alias("i"), F.greatest("own", k).alias("j")))
     cells = grouped.withColumn("_cell", F.explode(every)).select("shingle", "_cell.i", "_cell.j", "own", "class", "n", "raw", "component")
     crossing = cells.repartition(*order).sortWithinPartitions(*order).mapInArrow(_cross_pairs, "a bigint, b bigint").distinct()
-    more = _linked(saved(crossing, "crossing"), classes, rows)
+    more = _linked(_possible(crossing, classes).select("a", "b"), classes, rows)
     joined = components(links.unionByName(more)).withColumnRenamed("node", "class")
     named = members.where("n > 0").select("doc_id", "class").join(joined, "class", "left").withColumn("component", F.coalesce("component", "class"))
     per_class = saved(named.groupBy("class", "component").agg(F.min("doc_id").alias("_least")), "named")
