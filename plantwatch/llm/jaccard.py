@@ -37,8 +37,9 @@ SHINGLE = 5
 COMMON = 100
 COMMON_KEPT = 1_000_000
 BUCKETS = 64
-#: Bits of a set's parity sketch; two sets differ in at least as many shingles as their sketches in bits.
-BITS = 2048
+#: Bits of a set's parity sketch for each of its shingles, up to the next power of two. Two sets
+#: differ in at least as many shingles as their sketches in bits; the longer one is folded first.
+BITS_EACH = 4
 #: Postings after which a task passes on what it has gathered.
 FLUSH = 1_000_000
 #: Documents of a region (or compared with one pivot) that one task joins.
@@ -99,7 +100,8 @@ def class_of(shingles: np.ndarray) -> int:
 def coordinates(shingles: np.ndarray) -> bytes:
     """Counts by hash bucket (a byte each, at most 255), then the parities of finer counts, as bits."""
     counts = np.bincount((shingles >> np.uint64(32)).astype(np.int64) % BUCKETS, minlength=BUCKETS)
-    odd = np.bincount((shingles >> np.uint64(8)).astype(np.int64) % BITS, minlength=BITS) & 1
+    bits = 1 << max(9, (BITS_EACH * len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles >> np.uint64(8)).astype(np.int64) % bits, minlength=bits) & 1
     return np.minimum(counts, 255).astype(np.uint8).tobytes() + np.packbits(odd.astype(np.uint8)).tobytes()
 
 
@@ -349,16 +351,27 @@ def _may_link(cell: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> np.n
     return np.stack([cell["class"][a[ok]], cell["class"][b[ok]]])
 
 
+def _folded(raw: bytes, size: int, to: int) -> np.ndarray:
+    """Sketches of ``size`` bytes each as rows of 64-bit words, folded to ``to`` bytes."""
+    rows = np.frombuffer(raw, np.uint64).reshape(-1, size // to, to // 8)
+    return np.bitwise_xor.reduce(rows, axis=1)
+
+
 def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs whose parity sketches allow a link, with the share of bits in which they differ."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, BITS // 64) for c in ("_x", "_y"))
-                apart, sizes = np.bitwise_count(x ^ y).sum(1).astype(np.int64), batch.column("_sizes").to_numpy()
-                ok = 7 * apart <= sizes
-                yield pa.RecordBatch.from_pydict({"a": batch.column("a").to_numpy()[ok], "b": batch.column("b").to_numpy()[ok], "apart": apart[ok] / sizes[ok]})
+            x, y = batch.column("_x").to_pylist(), batch.column("_y").to_pylist()
+            lengths = np.array([(len(p), len(q)) for p, q in zip(x, y)], np.int64).reshape(-1, 2)
+            apart = np.zeros(len(x), np.int64)
+            for p, q in np.unique(lengths, axis=0).tolist():
+                rows = np.flatnonzero((lengths == (p, q)).all(1))
+                left, right = (_folded(b"".join(side[i] for i in rows), size, min(p, q)) for side, size in ((x, p), (y, q)))
+                apart[rows] = np.bitwise_count(left ^ right).sum(1)
+            sizes = batch.column("_sizes").to_numpy()
+            ok = 7 * apart <= sizes
+            yield pa.RecordBatch.from_pydict({"a": batch.column("a").to_numpy()[ok], "b": batch.column("b").to_numpy()[ok], "apart": apart[ok] / sizes[ok]})
 
     sides = [classes.select(F.col("class").alias(c), F.col("n").alias(f"_n{c}"), F.col("bits").alias(f)) for c, f in (("a", "_x"), ("b", "_y"))]
     both = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "_x", "_y", (F.col("_na") + F.col("_nb")).cast("long").alias("_sizes"))
@@ -423,7 +436,7 @@ def near_groups(docs: DataFrame, common: int = COMMON, common_kept: int = COMMON
     classes = saved(
         members.where("n > 0").groupBy("class").agg(F.min(F.struct("doc_id", "n", "raw")).alias("_r"))
         .select("class", text_key(F.col("_r.doc_id")).alias("_id"), F.col("_r.n").alias("n"), F.expr(f"substring(_r.raw, 1, {BUCKETS})").alias("raw"),
-                F.expr(f"substring(_r.raw, {BUCKETS + 1}, {BITS // 8})").alias("bits")), "classes"
+                F.expr(f"substring(_r.raw, {BUCKETS + 1}, octet_length(_r.raw))").alias("bits")), "classes"
     )
     postings = found.where("kind = 1").select(F.col("doc_id").alias("shingle"), "class")
     sizes = postings.groupBy("shingle").agg(F.ceil(F.count(F.lit(1)) / F.lit(cell_rows)).cast("int").alias("parts"))
