@@ -45,6 +45,9 @@ FLUSH = 1_000_000
 #: Documents of a region (or compared with one pivot) that one task joins.
 CELL_ROWS = 4096
 PIVOTS_TRIED = 2
+#: In a region, sets of up to FOLDED_SIZE shingles are compared by sketches folded to so many bits too.
+FOLDED_BITS = 1024
+FOLDED_SIZE = 1334
 
 _BASE = 0x9E3779B97F4A7C15
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -98,11 +101,13 @@ def class_of(shingles: np.ndarray) -> int:
 
 
 def coordinates(shingles: np.ndarray) -> bytes:
-    """Counts by hash bucket (a byte each, at most 255), then the parities of finer counts, as bits."""
+    """Counts by hash bucket (a byte each, at most 255), then parities of finer counts, folded and in full."""
     counts = np.bincount((shingles >> np.uint64(32)).astype(np.int64) % BUCKETS, minlength=BUCKETS)
-    bits = 1 << max(9, (BITS_EACH * len(shingles) - 1).bit_length())
+    bits = 1 << max(10, (BITS_EACH * len(shingles) - 1).bit_length())
     odd = np.bincount((shingles >> np.uint64(8)).astype(np.int64) % bits, minlength=bits) & 1
-    return np.minimum(counts, 255).astype(np.uint8).tobytes() + np.packbits(odd.astype(np.uint8)).tobytes()
+    packed = np.packbits(odd.astype(np.uint8)).tobytes()
+    short = _folded(packed, len(packed), FOLDED_BITS // 8) if len(shingles) <= FOLDED_SIZE else np.zeros(FOLDED_BITS // 64, np.uint64)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + short.tobytes() + packed
 
 
 def windows(sets: list[np.ndarray], common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -283,7 +288,9 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, np.nda
         done = len(table) if last else int(edge[-1])
         held = table.slice(done).to_batches()
         part = table.slice(0, done)
-        columns = {c: part[c].to_numpy() for c in part.column_names if c != "raw"}
+        columns = {c: part[c].to_numpy() for c in part.column_names if c not in ("raw", "odd")}
+        if "odd" in part.column_names:
+            columns["odd"] = np.frombuffer(b"".join(part["odd"].to_pylist()), np.uint64).reshape(-1, FOLDED_BITS // 64)
         columns["raw"] = np.frombuffer(b"".join(part["raw"].to_pylist()), np.uint8).reshape(-1, BUCKETS)
         return columns, edge[edge < done]
 
@@ -348,6 +355,9 @@ def _may_link(cell: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> np.n
     ok = (group[a] != group[b]) & (4 * n[a] >= 3 * n[b]) & (4 * n[b] >= 3 * n[a])
     a, b = a[ok], b[ok]
     ok = 7 * np.abs(cell["raw"][a].astype(np.int16) - cell["raw"][b]).sum(1) <= n[a] + n[b]
+    a, b = a[ok], b[ok]
+    small = (n[a] <= FOLDED_SIZE) & (n[b] <= FOLDED_SIZE)
+    ok = ~small | (7 * np.bitwise_count(cell["odd"][a] ^ cell["odd"][b]).sum(1, dtype=np.int64) <= n[a] + n[b])
     return np.stack([cell["class"][a[ok]], cell["class"][b[ok]]])
 
 
@@ -436,7 +446,8 @@ def near_groups(docs: DataFrame, common: int = COMMON, common_kept: int = COMMON
     classes = saved(
         members.where("n > 0").groupBy("class").agg(F.min(F.struct("doc_id", "n", "raw")).alias("_r"))
         .select("class", text_key(F.col("_r.doc_id")).alias("_id"), F.col("_r.n").alias("n"), F.expr(f"substring(_r.raw, 1, {BUCKETS})").alias("raw"),
-                F.expr(f"substring(_r.raw, {BUCKETS + 1}, octet_length(_r.raw))").alias("bits")), "classes"
+                F.expr(f"substring(_r.raw, {BUCKETS + 1}, {FOLDED_BITS // 8})").alias("odd"),
+                F.expr(f"substring(_r.raw, {BUCKETS + FOLDED_BITS // 8 + 1}, octet_length(_r.raw))").alias("bits")), "classes"
     )
     postings = found.where("kind = 1").select(F.col("doc_id").alias("shingle"), "class")
     sizes = postings.groupBy("shingle").agg(F.ceil(F.count(F.lit(1)) / F.lit(cell_rows)).cast("int").alias("parts"))
@@ -445,9 +456,8 @@ def near_groups(docs: DataFrame, common: int = COMMON, common_kept: int = COMMON
         postings.join(split, "shingle", "left")
         .withColumn("parts", F.coalesce("parts", F.lit(1)))
         .withColumn("own", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
-        .join(classes.select("class", "n", "raw"), "class")
     )
-    own_cell = placed.withColumns({"i": F.col("own"), "j": F.col("own")})
+    own_cell = placed.join(classes.select("class", "n", "raw"), "class").withColumns({"i": F.col("own"), "j": F.col("own")})
     order = ["shingle", "i", "j"]
     to_pivots = own_cell.select(*order, "class", "n", "raw").repartition(*order).sortWithinPartitions(*order)
     tried = Window.partitionBy("a").orderBy("apart", "b")
@@ -455,9 +465,10 @@ def near_groups(docs: DataFrame, common: int = COMMON, common_kept: int = COMMON
     stars = stars.withColumn("_nth", F.row_number().over(tried)).where(F.col("_nth") <= PIVOTS_TRIED).select("a", "b")
     links = _linked(stars, classes, rows)
     first = components(links)
-    grouped = placed.join(first.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    state = classes.join(first.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    grouped = placed.join(saved(state.select("class", "n", "raw", "odd", "component"), "state"), "class")
     every = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least("own", k).alias("i"), F.greatest("own", k).alias("j")))
-    cells = grouped.withColumn("_cell", F.explode(every)).select("shingle", "_cell.i", "_cell.j", "own", "class", "n", "raw", "component")
+    cells = grouped.withColumn("_cell", F.explode(every)).select("shingle", "_cell.i", "_cell.j", "own", "class", "n", "raw", "odd", "component")
     crossing = cells.repartition(*order).sortWithinPartitions(*order).mapInArrow(_cross_pairs, "a bigint, b bigint").distinct()
     more = _linked(_possible(crossing, classes).select("a", "b"), classes, rows)
     joined = components(links.unionByName(more)).withColumnRenamed("node", "class")
