@@ -160,7 +160,7 @@ def nearest(
         for batch in batches:
             if batch.num_rows:
                 for key, vector in zip(batch.column("key").to_pylist(), vectors_of(batch)):
-                    taken = probes(forest, vector.astype(np.float64), sizes, share * number)
+                    taken = probes(forest, vector.astype(np.float64), sizes, max(share * number, trees * (k + 1)))
                     cells = [(t, leaf, c) for t, leaf in taken for c in range(pieces[t][leaf])]
                     tree, leaf, chunk = (np.array(x, np.int32) for x in zip(*cells))
                     raw = vector.astype(kind).tobytes()
