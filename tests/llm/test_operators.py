@@ -174,7 +174,7 @@ def test_chunks_cover_texts_and_repeats_are_found(spark, empty):
 
 
 def test_languages_by_out_of_place_distance(spark, docs, empty):
-    found = {"en": list(languages.Counter("the other things").keys()), "fr": ["e", "é", "ê", "_l", "le", "le_", *"sèvthorngi"]}
+    found = {"en": list(languages.Counter("theotherthings").keys()), "fr": ["e", "é", "ê", "_l", "le", "le_", *"sèvthorngi"]}
     ranker = languages.Ranker(found, 50)
     texts = ["les élèves", "the other", None, "123 !!", "THE thing", "éé"]
     langs, scores = ranker.predict(texts)
