@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plantwatch.functions.labels import severity
 from plantwatch.functions.numbers import finite, zscore
-from plantwatch.operators.joins import lookup, only_fields
+from plantwatch.operators.joins import lookup
 from plantwatch.operators.ordered import top_rows
 from plantwatch.schema import FIELD, NUMBER
 
@@ -25,17 +25,15 @@ def scored(
     value: str = NUMBER,
     spread_by: list[str] | None = None,
 ) -> DataFrame:
-    """Readings with the mean, std and z-score of their field.
+    """Readings with the mean, std and z-score of their field; every reading is kept.
 
-    Declared ``fields`` bound the baseline, which is then broadcast; without them the
-    lookup spreads hot fields over several tasks.
+    The lookup spreads hot fields over several tasks. ``fields`` names the fields that a caller
+    expects; readings of other fields, and those without a field, are scored like all others.
     """
-    if fields is not None:
-        readings = only_fields(readings, fields)
     base = baseline(readings, value=value) if base is None else base
-    if fields is not None:
-        base = only_fields(base, fields)
-    joined = lookup(readings, base, [FIELD], at_most=len(fields) if fields is not None else None, spread_by=spread_by)
+    named = [readings, base]
+    readings, base = (f.withColumn("_field", F.coalesce(F.concat(F.lit("f"), F.col(FIELD)), F.lit("n"))) for f in named)
+    joined = lookup(readings, base.drop(FIELD), ["_field"], spread_by=spread_by).drop("_field")
     return joined.withColumn("z", zscore(F.col(value), F.col("mean"), F.col("std")))
 
 

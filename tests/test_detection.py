@@ -145,3 +145,12 @@ def test_alert_ids_restart_each_day(rows):
     frame = rows([("2024-01-01 00:00:01", 1), ("2024-01-01 05:00:00", 2), ("2024-01-02 00:00:00", 3)], "time timestamp_ntz, tie bigint")
     found = {r["tie"]: r["alert_id"] for r in C.sequential_ids(frame, "time", "tie").collect()}
     assert found == {1: "ALERT_000001", 2: "ALERT_000002", 3: "ALERT_000001"}
+
+
+def test_undeclared_and_missing_fields_are_scored(spark):
+    from plantwatch.operators import statistics as S
+    from plantwatch.schema import FIELD, NUMBER
+
+    table = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("sixth", 2.0), (None, 4.0), (None, 6.0)], f"{FIELD} string, {NUMBER} double")
+    got = sorted(((r[FIELD] or "", r[NUMBER], r["mean"]) for r in S.scored(table, fields=["a"]).collect()))
+    assert got == [("", 4.0, 5.0), ("", 6.0, 5.0), ("a", 1.0, 2.0), ("a", 3.0, 2.0), ("sixth", 2.0, 2.0)]
