@@ -383,6 +383,8 @@ def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             ok = 7 * apart <= sizes
             yield pa.RecordBatch.from_pydict({"a": batch.column("a").to_numpy()[ok], "b": batch.column("b").to_numpy()[ok], "apart": apart[ok] / sizes[ok]})
 
+    ends = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class")))
+    classes = classes.join(small_or_plain(saved(ends.distinct(), "ends")), "class", "left_semi")
     sides = [classes.select(F.col("class").alias(c), F.col("n").alias(f"_n{c}"), F.col("bits").alias(f)) for c, f in (("a", "_x"), ("b", "_y"))]
     both = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "_x", "_y", (F.col("_na") + F.col("_nb")).cast("long").alias("_sizes"))
     return saved(both.mapInArrow(keep, "a bigint, b bigint, apart double"), "possible")
@@ -461,7 +463,7 @@ def near_groups(docs: DataFrame, common: int = COMMON, common_kept: int = COMMON
     order = ["shingle", "i", "j"]
     to_pivots = own_cell.select(*order, "class", "n", "raw").repartition(*order).sortWithinPartitions(*order)
     tried = Window.partitionBy("a").orderBy("apart", "b")
-    stars = _possible(to_pivots.mapInArrow(_pivot_pairs, "a bigint, b bigint").distinct(), classes)
+    stars = _possible(saved(to_pivots.mapInArrow(_pivot_pairs, "a bigint, b bigint").distinct(), "near-pivots"), classes)
     stars = stars.withColumn("_nth", F.row_number().over(tried)).where(F.col("_nth") <= PIVOTS_TRIED).select("a", "b")
     links = _linked(stars, classes, rows)
     first = components(links)
@@ -470,7 +472,7 @@ def near_groups(docs: DataFrame, common: int = COMMON, common_kept: int = COMMON
     every = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least("own", k).alias("i"), F.greatest("own", k).alias("j")))
     cells = grouped.withColumn("_cell", F.explode(every)).select("shingle", "_cell.i", "_cell.j", "own", "class", "n", "raw", "odd", "component")
     crossing = cells.repartition(*order).sortWithinPartitions(*order).mapInArrow(_cross_pairs, "a bigint, b bigint").distinct()
-    more = _linked(_possible(crossing, classes).select("a", "b"), classes, rows)
+    more = _linked(_possible(saved(crossing, "crossing"), classes).select("a", "b"), classes, rows)
     joined = components(links.unionByName(more)).withColumnRenamed("node", "class")
     named = members.where("n > 0").select("doc_id", "class").join(joined, "class", "left").withColumn("component", F.coalesce("component", "class"))
     per_class = saved(named.groupBy("class", "component").agg(F.min("doc_id").alias("_least")), "named")
