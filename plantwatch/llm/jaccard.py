@@ -39,7 +39,7 @@ COMMON_KEPT = 1_000_000
 BUCKETS = 64
 #: Bits of a set's parity sketch for each of its shingles, up to the next power of two. Two sets
 #: differ in at least as many shingles as their sketches in bits; the longer one is folded first.
-BITS_EACH = 4
+BITS_EACH = 2
 #: Postings after which a task passes on what it has gathered.
 FLUSH = 1_000_000
 #: Documents of a region (or compared with one pivot) that one task joins.
