@@ -33,7 +33,8 @@ from plantwatch.llm.common import cuts, joined_bytes, mixed, read_table, saved,
 from plantwatch.llm.components import components
 
 SHINGLE = 5
-#: A shingle in more windows than this is common: it comes last in the order. At most so many are kept.
+#: A shingle whose upper half is that of more windows' shingles than this is common: it comes last in
+#: the order. At most so many halves are kept.
 COMMON = 100
 COMMON_KEPT = 1_000_000
 BUCKETS = 64
@@ -110,15 +111,17 @@ def coordinates(shingles: np.ndarray) -> bytes:
     return np.minimum(counts, 255).astype(np.uint8).tobytes() + short.tobytes() + packed
 
 
+def upper(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(32)).astype(np.uint32)
+
+
 def windows(sets: list[np.ndarray], common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(set, shingle) of each set's nearest pivots: the first n - ceil(0.75 n) + 1, common ones last."""
+    """(set, shingle) of each set's nearest pivots: the first n - ceil(0.75 n) + 1, those with common upper halves last."""
     counts = np.fromiter(map(len, sets), np.int64, len(sets))
     if not counts.sum():
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     every, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), counts)
-    last = np.zeros(len(every), bool)
-    if len(common):
-        last = common[np.minimum(np.searchsorted(common, every), len(common) - 1)] == every
+    last = _among(common, every)
     starts = np.cumsum(counts) - counts
     before = np.append(0, np.cumsum(~last))
     rare = before[starts + counts] - before[starts]
@@ -128,6 +131,13 @@ def windows(sets: list[np.ndarray], common: np.ndarray) -> tuple[np.ndarray, np.
     return of[kept], every[kept]
 
 
+def _among(common: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    if not len(common):
+        return np.zeros(len(shingles), bool)
+    halves = upper(shingles)
+    return common[np.minimum(np.searchsorted(common, halves), len(common) - 1)] == halves
+
+
 _SENT = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("raw", pa.binary()), ("doc_id", pa.int64()), ("class", pa.int64()), ("n", pa.int32())])
 _SENT_DDL = "bucket int, kind tinyint, raw binary, doc_id bigint, class bigint, n int"
 
@@ -141,26 +151,29 @@ def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.
 
 
 def _common_shingles(rows: DataFrame, buckets: int, least: int, most: int) -> np.ndarray:
-    """Shingles in more than ``least`` windows, the ``most`` frequent of them, sorted. Counted over all documents."""
+    """Upper halves of the shingles in more than ``least`` windows, the ``most`` frequent of them, sorted.
+
+    Counted over all documents. Halves that meet by chance only put a rare shingle late in the order.
+    """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def flush() -> pa.RecordBatch:
             shingles, counts = np.unique(np.concatenate(held), return_counts=True)
-            place = (shingles % np.uint64(buckets)).astype(np.int64)
+            place = (shingles % np.uint32(buckets)).astype(np.int64)
             order = np.argsort(place, kind="stable")
             edges = np.searchsorted(place[order], np.arange(buckets + 1))
             raws = []
             for a, b in zip(edges, edges[1:]):
                 one, many = (order[a:b][m] for m in (counts[order[a:b]] == 1, counts[order[a:b]] > 1))
-                head = np.array([len(one)], np.uint64)
-                raws.append(np.concatenate([head, shingles[one], shingles[many], counts[many].astype(np.uint64)]).tobytes())
+                head = np.array([len(one)], np.uint32)
+                raws.append(np.concatenate([head, shingles[one], shingles[many], counts[many].astype(np.uint32)]).tobytes())
             return pa.RecordBatch.from_pydict({"bucket": np.arange(buckets, dtype=np.int32), "raw": raws})
 
         for _, sets in _sets_of(batches):
             distinct = list({s.tobytes(): s for s in sets}.values())
-            held.append(windows(distinct, np.zeros(0, np.uint64))[1])
+            held.append(upper(windows(distinct, np.zeros(0, np.uint32))[1]))
             size += len(held[-1])
             if size > FLUSH:
                 yield flush()
@@ -172,23 +185,23 @@ def _common_shingles(rows: DataFrame, buckets: int, least: int, most: int) -> np
         shingles, counts = [], []
         for batch in batches:
             for raw in batch.column("raw").to_pylist():
-                row = np.frombuffer(raw, np.uint64)
+                row = np.frombuffer(raw, np.uint32)
                 single = int(row[0])
                 many = (len(row) - 1 - single) // 2
                 shingles.append(row[1 : 1 + single + many])
-                counts.append(np.append(np.ones(single, np.uint64), row[1 + single + many :]))
+                counts.append(np.append(np.ones(single, np.uint32), row[1 + single + many :]))
         if shingles:
-            every, size = np.concatenate(shingles), np.concatenate(counts)
+            every, size = np.concatenate(shingles), np.concatenate(counts).astype(np.int64)
             order = np.argsort(every, kind="stable")
             every, size = every[order], size[order]
             first = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
             total = np.add.reduceat(size, first) if len(first) else size
             hit = total > least
-            yield pa.RecordBatch.from_pydict({"shingle": every[first][hit].view(np.int64), "n": total[hit].astype(np.int64)})
+            yield pa.RecordBatch.from_pydict({"shingle": every[first][hit].astype(np.int64), "n": total[hit].astype(np.int64)})
 
     counted = rows.mapInArrow(send, "bucket int, raw binary").repartition("bucket").mapInArrow(count, "shingle bigint, n bigint")
     top = counted.orderBy(F.desc("n"), "shingle").limit(most).toArrow()
-    return np.sort(top["shingle"].to_numpy().view(np.uint64)) if top.num_rows else np.zeros(0, np.uint64)
+    return np.sort(top["shingle"].to_numpy().astype(np.uint32)) if top.num_rows else np.zeros(0, np.uint32)
 
 
 def _regions(rows: DataFrame, buckets: int, common: np.ndarray) -> DataFrame:
@@ -229,7 +242,7 @@ def _regions(rows: DataFrame, buckets: int, common: np.ndarray) -> DataFrame:
             of, shingles = windows([sets[i] for i in alone], hot)
             own = classes[alone][of]
             if len(hot):
-                big = hot[np.minimum(np.searchsorted(hot, shingles), len(hot) - 1)] == shingles
+                big = _among(hot, shingles)
                 if big.any():
                     k = int(big.sum())
                     yield _sent(((own[big] >> 8) % buckets).astype(np.int32), np.ones(k), [None] * k, shingles[big].view(np.int64), own[big], [None] * k)
