@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -101,12 +104,14 @@ def top(readings: DataFrame, n: int, value: str, tie: str) -> DataFrame:
 def windowed(readings: DataFrame, every: str, by: list[str] | None = None, slide: str | None = None) -> DataFrame:
     """Row count and value sum per time window; empty windows give no row.
 
-    Sliding windows are added up from panes one slide long, so a row is counted once
-    however many windows hold it; ``every`` is a multiple of ``slide``.
+    Sliding windows are added up from panes as long as the greatest common divisor of both
+    lengths, so each pane is inside a window or outside it and a row is counted once however
+    many windows hold it. Rows without a time are in no window.
     """
     by = by or []
+    pane = every if slide is None else f"{math.gcd(*(pd.Timedelta(t) // pd.Timedelta('1us') for t in (every, slide)))} microseconds"
     totals = (
-        readings.groupBy(F.window(TIME, slide or every).alias("pane"), *by)
+        readings.groupBy(F.window(TIME, pane).alias("pane"), *by)
         .agg(F.count("*").alias("n"), F.sum(NUMBER).alias("total"))
         .select(F.col("pane.start").alias("window_start"), F.col("pane.end").alias("window_end"), *by, "n", "total")
     )

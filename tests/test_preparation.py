@@ -129,3 +129,9 @@ def test_replays_do_not_change_the_last_write(rows):
 def test_alignment_adds_missing_features_as_zero(rows):
     frame = rows([("4", None)], "a string, b double")
     assert tuple(frame.select(*reshape.aligned(frame, ["c", "a", "b"])).first()) == (0.0, 4.0, 0.0)
+
+
+def test_a_null_label_is_split_like_a_class(rows):
+    frame = rows([(i, None if i % 10 == 0 else i % 2) for i in range(100)], "id bigint, y int")
+    counts = {(r["y"], r["held_out"]): r["count"] for r in X.stratified(frame, "id", "y").groupBy("y", "held_out").count().collect()}
+    assert counts == {(None, True): 3, (None, False): 7, (0, True): 12, (0, False): 28, (1, True): 15, (1, False): 35}

@@ -118,3 +118,27 @@ def test_range_is_half_open_and_relative_range_is_closed(rows):
     assert R.in_range(frame, "2024-01-01 00:00:00", "2024-01-02 00:00:00").count() == 2
     assert R.since(frame, "1 DAY", R.latest_time(frame)).count() == 3
     assert R.since(frame, "60", R.latest_time(frame)).count() == 1
+
+
+def test_rows_without_series_or_time_are_kept(rows):
+    data = [("a", "2024-01-01 00:00:00", 1, "x", 1.0), (None, "2024-01-01 00:00:00", 2, "x", 2.0), (None, "2024-01-01 05:00:00", 3, "x", 3.0), ("a", None, 4, "y", 4.0), (None, None, 5, "x", 5.0)]
+    frame = rows(data, SCHEMA)
+    placed = numbered(frame, ["unit"], time_slice("time", 600), ["time", "tie"], "n").collect()
+    assert {r["tie"]: r["n"] for r in placed} == {4: 1, 1: 2, 5: 1, 2: 2, 3: 3}
+    before = with_previous(frame, ["unit"], ["time", "tie"], F.col("tie"), "before", 600).collect()
+    assert {r["tie"]: r["before"] for r in before} == {4: None, 1: 4, 5: None, 2: 5, 3: 2}
+    found = runs(frame, ["unit"], "time", "tie", lambda a, b: a["state"] != b["state"], state=F.col("state"), total=F.col("v"), width=600)
+    assert sorted((r["unit"] or "", r["run_rows"], r["run_total"], r["run_state"]) for r in found.collect()) == [("", 3, 10.0, "x"), ("a", 1, 1.0, "x"), ("a", 1, 4.0, "y")]
+
+
+def test_runs_that_start_together_stay_apart(rows):
+    data = [("a", "2024-01-01 00:00:00", i, state, 1.0) for i, state in enumerate("xyx")]
+    found = runs(rows(data, SCHEMA), ["unit"], "time", "tie", lambda a, b: a["state"] != b["state"], state=F.col("state"))
+    assert sorted((r["run_state"], r["run_rows"]) for r in found.collect()) == [("x", 1), ("x", 1), ("y", 1)]
+
+
+def test_sliding_windows_whose_slide_does_not_divide_them(rows):
+    frame = rows([(f"2024-01-01 00:{m:02d}:{s:02d}", 1.0) for m in range(4) for s in (5, 31, 50)], "time timestamp_ntz, value_num double")
+    want = frame.groupBy(F.window("time", "1 minute", "25 seconds").alias("w")).agg(F.count("*").alias("n"))
+    found = R.windowed(frame, "1 minute", slide="25 seconds")
+    assert {(r["window_start"], r["n"]) for r in found.collect()} == {(r["w"]["start"], r["n"]) for r in want.collect()}
