@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantwatch.llm.common import read_table, saved
@@ -14,10 +14,10 @@ FANOUT = 16
 KEY = ["file", "offset"]
 
 
-def archive_records(pages: DataFrame, file_pages: int = FILE_PAGES) -> DataFrame:
-    """page_id, file, offset, length and record (bytes) of each page as a WARC response record.
+def responses(pages: DataFrame, file_pages: int = FILE_PAGES) -> DataFrame:
+    """page_id, file, length and record (bytes) of each page as a WARC response record.
 
-    A file holds ``file_pages`` consecutive ids, in their order; a null id is in file -1.
+    A file holds ``file_pages`` consecutive ids; a null id is in file -1.
     """
     body = F.coalesce(F.col("html").cast("string"), F.lit(""))
     head = F.concat(
@@ -27,15 +27,26 @@ def archive_records(pages: DataFrame, file_pages: int = FILE_PAGES) -> DataFrame
     record = F.encode(F.concat(head, body, F.lit("\r\n\r\n")), "utf-8")
     file = F.coalesce(F.floor(F.col("page_id") / F.lit(file_pages)), F.lit(-1)).cast("long")
     rows = pages.select(F.col("page_id").cast("long"), file.alias("file"), record.alias("record"))
-    sized = rows.withColumn("length", F.octet_length("record").cast("long"))
-    earlier = Window.partitionBy("file").orderBy("page_id", "record").rowsBetween(Window.unboundedPreceding, -1)
-    return sized.withColumn("offset", F.coalesce(F.sum("length").over(earlier), F.lit(0)))
+    return rows.withColumn("length", F.octet_length("record").cast("long"))
+
+
+def in_files(rows: DataFrame, tie: str) -> DataFrame:
+    """Adds the offset of each row in its file, where rows stand by page_id and then ``tie``."""
+    earlier = Window.partitionBy("file").orderBy("page_id", tie).rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn("offset", F.coalesce(F.sum("length").over(earlier), F.lit(0)))
+
+
+def archive_records(pages: DataFrame, file_pages: int = FILE_PAGES) -> DataFrame:
+    """page_id, file, offset, length and record of each page, in files by their ids."""
+    return in_files(responses(pages, file_pages), "record")
 
 
 def leaves(records: DataFrame) -> DataFrame:
-    """Each record's place and digest: the leaves of the tree."""
+    """Each record's place and digest: the leaves of the tree. Digests that are there are taken."""
     kept = [c for c in ("page_id",) if c in records.columns]
-    return records.select(*KEY, "length", *kept, F.sha2("record", 256).alias("digest"))
+    digest = F.col("digest") if "digest" in records.columns else F.sha2(F.coalesce("record", F.lit(b"")), 256)
+    places = [F.coalesce(c, F.lit(-1)).alias(c) for c in KEY]
+    return records.select(*places, "length", *kept, digest.alias("digest"))
 
 
 def ranges(below: DataFrame, width: int) -> DataFrame:
@@ -46,12 +57,12 @@ def ranges(below: DataFrame, width: int) -> DataFrame:
     return below.groupBy("file", place.alias("offset")).agg(F.sum("length").alias("length"), F.sha2(text, 256).alias("digest"))
 
 
-def tree(records: DataFrame, widest: int, range_bytes: int = RANGE_BYTES, fanout: int = FANOUT) -> list[DataFrame]:
-    """Levels from the records up to one root per file; a node's children are its range's nodes below.
+def tree(lowest: DataFrame, widest: int, range_bytes: int = RANGE_BYTES, fanout: int = FANOUT) -> list[DataFrame]:
+    """Levels from the leaves up to one root per file; a node's children are its range's nodes below.
 
-    The leaves, a line per record, are written once; every level above is ``fanout`` times smaller.
+    Every level is ``fanout`` times smaller than the one below.
     """
-    levels, width = [saved(leaves(records), "fixity")], range_bytes
+    levels, width = [lowest], range_bytes
     levels.append(ranges(levels[0], width))
     while width <= widest:
         width *= fanout
@@ -63,7 +74,8 @@ def audit(ours: DataFrame, theirs: DataFrame, range_bytes: int = RANGE_BYTES, fa
     """file, offset, length, page_id (where records have one) and status of each record that differs.
 
     Roots are compared first; below them only the children of nodes that differ are compared, level
-    by level, so an intact file costs one comparison. Status: ``changed`` (another digest or length
+    by level, so an intact file costs one comparison. A replica that has a ``digest`` column (SHA-256
+    of the bytes, made where they are) need not hold ``record``: leaves are all that is moved. Status: ``changed`` (another digest or length
     at this offset), ``missing`` or ``extra`` (there for one replica only). A record whose length
     changed moves all later ones of its file, which are then reported too.
 
@@ -71,10 +83,7 @@ def audit(ours: DataFrame, theirs: DataFrame, range_bytes: int = RANGE_BYTES, fa
     Null file or offset: compared as equal values. Empty replicas: all of the other is missing or
     extra; two empty ones agree. Other columns are ignored.
     """
-    ours, theirs = (
-        f.withColumns({"file": F.coalesce("file", F.lit(-1)), "offset": F.coalesce("offset", F.lit(-1)), "record": F.coalesce("record", F.lit(b""))})
-        for f in (ours, theirs)
-    )
+    ours, theirs = (saved(leaves(f), "fixity") for f in (ours, theirs))
     widest = max(f.agg(F.max("offset")).first()[0] or 0 for f in (ours, theirs))
     a, b = (tree(f, widest, range_bytes, fanout) for f in (ours, theirs))
     width = range_bytes * fanout ** (len(a) - 2)
@@ -104,20 +113,25 @@ def _unlike(left: DataFrame, right: DataFrame) -> DataFrame:
     return odd.select(*KEY, F.coalesce("_l", "_r").alias("length"), *kept, status.alias("status"))
 
 
-def damaged(records: DataFrame) -> DataFrame:
-    """A replica with known damage: one byte of some records is lost to ``#``, some files lack their tail."""
-    hit = F.substring(F.md5(F.col("page_id").cast("string")), 1, 2) == "07"
+def damaged(record: Column, page_id: Column) -> Column:
+    """The record, of which one byte is lost to ``#`` for some page ids."""
+    hit = F.substring(F.md5(page_id.cast("string")), 1, 2) == "07"
+    return F.when(hit, F.encode(F.overlay(F.decode(record, "utf-8"), F.lit("#"), F.lit(1)), "utf-8")).otherwise(record)
+
+
+def without_tails(placed: DataFrame) -> DataFrame:
+    """The rows without the last of every fourth file."""
     last = F.row_number().over(Window.partitionBy("file").orderBy(F.col("offset").desc())) == 1
-    text = F.decode("record", "utf-8")
-    return (
-        records.withColumn("_cut", last & (F.pmod("file", F.lit(4)) == 3)).where("not _cut").drop("_cut")
-        .withColumn("record", F.when(hit, F.encode(F.overlay(text, F.lit("#"), F.lit(1)), "utf-8")).otherwise(F.col("record")))
-    )
+    return placed.withColumn("_cut", last & (F.pmod("file", F.lit(4)) == 3)).where("not _cut").drop("_cut")
 
 
 def op2_fixity(spark, folder: str) -> DataFrame:
-    records = archive_records(read_table(spark, folder, "pages"))
-    return audit(records, damaged(records))
+    """Two replicas of the archive of ``pages``, one with stated damage, each hashed record by record where its bytes are read."""
+    rows = responses(read_table(spark, folder, "pages"))
+    hurt = damaged(F.col("record"), F.col("page_id"))
+    hashed = rows.select("page_id", "file", "length", F.sha2("record", 256).alias("digest"), F.sha2(hurt, 256).alias("_hurt"))
+    placed = saved(in_files(hashed, "digest"), "archive")
+    return audit(placed.drop("_hurt"), without_tails(placed).drop("digest").withColumnRenamed("_hurt", "digest"))
 
 
 OP2_SQL = r"""
