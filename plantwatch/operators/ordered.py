@@ -165,22 +165,25 @@ def top_rows(rows: DataFrame, order: list[Column], n: int) -> DataFrame:
     return rows.orderBy(*order).limit(n)
 
 
-def running_total(rows: DataFrame, slice_of: Column, order: list[str], value: Column, name: str) -> DataFrame:
-    """Adds the sum of a value up to and including each row, over all rows.
+def running_total(
+    rows: DataFrame, slice_of: Column, order: list[str], value: Column, name: str, by: list[str] | None = None
+) -> DataFrame:
+    """Adds the sum of a value up to and including each row, over all rows or those of its group.
 
-    ``slice_of`` must rise with ``order``, as in ``numbered``; slices are few.
+    ``slice_of`` must rise with ``order``, as in ``numbered``; slices are few. Groups are not null.
     """
+    by = by or []
     sliced = rows.withColumn(SLICE, slice_of).withColumn("_value", value)
-    earlier = Window.partitionBy(F.lit(0)).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(F.lit(0), *by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
-        sliced.groupBy(SLICE)
+        sliced.groupBy(*by, SLICE)
         .agg(F.sum("_value").alias("_sum"))
-        .select(SLICE, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_shift"))
+        .select(*by, SLICE, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_shift"))
     )
-    upto = Window.partitionBy(SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy(*by, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
         sliced.withColumn("_local", F.sum("_value").over(upto))
-        .join(shifts, SLICE)
+        .join(shifts, [*by, SLICE])
         .withColumn(name, F.col("_shift") + F.col("_local"))
         .drop(SLICE, "_value", "_local", "_shift")
     )

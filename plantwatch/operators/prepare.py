@@ -10,19 +10,20 @@ from pyspark.sql import functions as F
 from plantwatch.functions import times as T
 from plantwatch.functions.labels import code_text_or
 from plantwatch.functions.numbers import to_number
-from plantwatch.schema import ATTACK_LABELS, ATTACK_WINDOWS, RENAMES, UNKNOWN_ATTACK
+from plantwatch.schema import ATTACK_LABELS, ATTACK_WINDOWS, OTHER_SPELLINGS, RENAMES, UNKNOWN_ATTACK
 
+# Columns that are never features.
 NOT_FEATURES = [
     "Timestamp", "t_stamp", "Date", "Time", "label", "Attack", "attack_type", "attack_label", "Attack_Type",
     "_time", "time", "table", "result", "_start", "_stop", "_measurement", "measurement",
 ]
 
 
-def renamed(rows: DataFrame, names: dict[str, str] = RENAMES) -> DataFrame:
+def renamed(rows: DataFrame, names: dict[str, str] = RENAMES | OTHER_SPELLINGS) -> DataFrame:
     return rows.withColumnsRenamed(names)
 
 
-def unmapped_columns(rows: DataFrame, names: dict[str, str] = RENAMES) -> list[str]:
+def unmapped_columns(rows: DataFrame, names: dict[str, str] = RENAMES | OTHER_SPELLINGS) -> list[str]:
     """Columns that the mapping does not cover, time and label aside."""
     return sorted(set(rows.columns) - set(names) - {"t_stamp", "Attack"})
 

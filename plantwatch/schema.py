@@ -88,6 +88,8 @@ RENAMES = {
     "P602.Status": "P602 Status",
     "P603.Status": "P603 Status",
 }
+# Fixed value: another spelling that prepared files use.
+OTHER_SPELLINGS = {"P6 STATE": "P6_STATE"}
 
 STATE_TAGS = ["P1_STATE", "P2_STATE", "P3_STATE", "P4_STATE", "P5_STATE", "P6_STATE"]
 SENSOR_COLUMNS = [name for name in RENAMES.values() if name not in STATE_TAGS]
