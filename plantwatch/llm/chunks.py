@@ -82,16 +82,18 @@ def repeated_passages(docs: DataFrame, least: int = LEAST_RUN) -> DataFrame:
 
     Digests are counted with partial aggregation and joined back to the chunks; a very common chunk
     is split by Spark's skew handling. Only repeated chunks are ordered within their document.
-    Null or empty text: no rows. Null doc_id: no first_doc_id of its own. Repeated rows of one doc_id
-    and text count as one document. Empty table: empty. Other columns are ignored.
+    Null or empty text: no rows. Null doc_id: no first_doc_id of its own. Equal texts under different
+    doc_ids, one of them null or not, are different documents. Repeated rows of one doc_id and text
+    count as one document. Empty table: empty. Other columns are ignored.
     """
     found = chunks(docs)
+    several = "min(doc_id) != max(doc_id) or count(doc_id) between 1 and count(*) - 1"
     counted = (
         found.groupBy("digest").agg(
             F.count(F.lit(1)).alias("_n"), F.min("doc_id").alias("_first"),
-            F.min("text_key").alias("_a"), F.max("text_key").alias("_b"), F.min("start").alias("_c"), F.max("start").alias("_d"),
+            F.coalesce(F.expr(several), F.lit(False)).alias("_several"), F.min("text_key").alias("_a"), F.max("text_key").alias("_b"), F.min("start").alias("_c"), F.max("start").alias("_d"),
         )
-        .where("_n > 1 and (_a != _b or _c != _d)").select("digest", "_first")
+        .where("_n > 1 and (_several or _a != _b or _c != _d)").select("digest", "_first")
     )
     again = found.join(counted, "digest").select("doc_id", "text_key", "start", "end", "_first").distinct()
     own = Window.partitionBy("doc_id", "text_key").orderBy("start")

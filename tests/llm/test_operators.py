@@ -173,6 +173,22 @@ def test_chunks_cover_texts_and_repeats_are_found(spark, empty):
     assert chunks.repeated_passages(empty).count() == 0
 
 
+def _prose(rng, n):
+    return " ".join("".join(rng.choice("abcdeéfghij") for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+
+def test_exact_copies_under_several_doc_ids_are_repeats(spark):
+    rng = random.Random(15)
+    group, pair, lone, twice = (_prose(rng, 60) for _ in range(4))
+    rows = [(4, group), (7, group), (9, group), (5, pair), (None, pair), (6, lone), (8, twice), (8, twice), (None, lone[:40])]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = [(r["doc_id"], r["start"], r["end"], r["first_doc_id"], r["kept"]) for r in chunks.repeated_passages(table).collect()]
+    whole = [(d, 0, len(group), 4, d == 4) for d in (4, 7, 9)]
+    assert sorted(found, key=str) == sorted([*whole, (5, 0, len(pair), 5, True), (None, 0, len(pair), 5, False)], key=str)
+    left = sorted(chunks.without_repeats(table).collect(), key=str)
+    assert left == sorted([(d, "" if d in (7, 9) else t) for d, t in rows], key=str)
+
+
 def test_languages_by_out_of_place_distance(spark, docs, empty):
     found = {"en": list(languages.Counter("theotherthings").keys()), "fr": ["e", "é", "ê", "_l", "le", "le_", *"sèvthorngi"]}
     ranker = languages.Ranker(found, 50)
