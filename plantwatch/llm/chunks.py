@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantwatch.llm.common import cuts, joined_bytes, mixed, read_table
@@ -77,8 +77,12 @@ def repeated_passages(docs: DataFrame, least: int = LEAST_RUN) -> DataFrame:
     """Stretches of at least ``least`` characters whose chunks all stand elsewhere as well.
 
     One row per stretch of each document: doc_id, start, end (code points, end exclusive), n_chunks,
-    first_doc_id (the smallest doc_id that has one of its chunks) and kept (that is this document, so
-    a deduplication leaves the stretch there and cuts it from the others).
+    first_doc_id (the smallest doc_id that has one of its chunks; this document's, if kept) and kept
+    (this document is the first that has its chunks, so a deduplication leaves the stretch there and
+    cuts it from the others). A stretch of which a document is first in parts gives one row for each
+    part of at least ``least`` characters. A shorter part that is first here is left without a row; one
+    that stands first elsewhere goes with the kept part beside it, so chance repeats of single chunks
+    cut no hole into a passage.
 
     Digests are counted with partial aggregation and joined back to the chunks; a very common chunk
     is split by Spark's skew handling. Only repeated chunks are ordered within their document.
@@ -97,17 +101,33 @@ def repeated_passages(docs: DataFrame, least: int = LEAST_RUN) -> DataFrame:
     )
     again = found.join(counted, "digest").select("doc_id", "text_key", "start", "end", "_first").distinct()
     own = Window.partitionBy("doc_id", "text_key").orderBy("start")
+    whole = Window.partitionBy("doc_id", "text_key", "_run")
     run = F.sum(F.when(F.lag("end").over(own) == F.col("start"), 0).otherwise(1)).over(own)
+    chars = F.col("end") - F.col("start")
+    pieces = (
+        again.withColumn("_run", run).withColumn("_mine", F.coalesce(F.col("_first") == F.col("doc_id"), F.lit(False)))
+        .withColumn("_piece", _stretch(own, "_mine"))
+        .groupBy("doc_id", "text_key", "_run", "_piece", "_mine")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n_chunks"), F.min("_first").alias("_first"))
+    )
     return (
-        again.withColumn("_run", run)
-        .groupBy("doc_id", "text_key", "_run")
-        .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n_chunks"), F.min("_first").alias("first_doc_id"))
-        .where(F.col("end") - F.col("start") >= least)
-        .select("doc_id", F.col("start").cast("long"), F.col("end").cast("long"), "n_chunks", "first_doc_id",
-                F.coalesce(F.col("first_doc_id") == F.col("doc_id"), F.lit(False)).alias("kept"))
+        pieces.withColumn("_chars", F.max("end").over(whole) - F.min("start").over(whole)).where(F.col("_chars") >= least)
+        .withColumn("kept", F.col("_mine") | ((chars < least) & F.max("_mine").over(whole)))
+        .withColumn("_piece", _stretch(own, "kept"))
+        .groupBy("doc_id", "text_key", "_piece", "kept")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_chunks").alias("n_chunks"),
+             F.min(F.when(F.col("_mine") | ~F.col("kept"), F.col("_first"))).alias("first_doc_id"))
+        .where(chars >= least)
+        .select("doc_id", F.col("start").cast("long"), F.col("end").cast("long"), "n_chunks", "first_doc_id", "kept")
     )
 
 
+def _stretch(own: Window, state: str) -> Column:
+    """Numbers rows of one ``_run`` and one state that follow each other."""
+    same = (F.lag("_run").over(own) == F.col("_run")) & (F.lag(state).over(own) == F.col(state))
+    return F.sum(F.when(same, 0).otherwise(1)).over(own)
+
+
 def without_repeats(docs: DataFrame, least: int = LEAST_RUN) -> DataFrame:
     """The rows of docs, each repeated stretch cut from all documents but the first that has it."""
     cut = (

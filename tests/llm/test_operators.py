@@ -189,6 +189,33 @@ def test_exact_copies_under_several_doc_ids_are_repeats(spark):
     assert left == sorted([(d, "" if d in (7, 9) else t) for d, t in rows], key=str)
 
 
+@pytest.mark.parametrize("words", [40, 8])
+def test_each_part_of_a_repeated_stretch_is_kept_in_its_own_first_document(spark, words):
+    rng = random.Random(21)
+    a, b = _prose(rng, 60), " " + _prose(rng, words)
+    fill = {d: _prose(rng, 30) + " " for d in (1, 5, 9)}
+    rows = [(1, fill[1] + a), (5, fill[5] + a + b), (9, fill[9] + a + b)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = chunks.repeated_passages(table).collect()
+    assert words < 40 or [r["doc_id"] for r in found if r["kept"]].count(5) == 1
+    assert not any(r["kept"] for r in found if r["doc_id"] == 9)
+    assert all((r["first_doc_id"] == r["doc_id"]) == r["kept"] for r in found)
+    left = {r["doc_id"]: r["text"] for r in chunks.without_repeats(table).collect()}
+    assert left[1] == rows[0][1] and left[5].endswith(b[-20:]) and not left[9].endswith(b[-20:])
+    assert sum(t.count(a[100:300]) for t in left.values()) == 1
+
+
+def test_a_chance_repeat_of_one_chunk_cuts_no_hole(spark):
+    rng = random.Random(22)
+    passage = _prose(rng, 80)
+    data, _, begins, stops = chunks.cut_points([passage.encode()])
+    spans = [bytes(data[a:b]).decode() for a, b in zip(begins, stops)]
+    at = next(i for i in range(4, len(spans) - 4) if 16 < len(spans[i]) < 60)
+    rows = [(1, _prose(rng, 30) + spans[at - 1][-16:] + spans[at] + _prose(rng, 30)), (5, passage), (9, passage)]
+    left = {r["doc_id"]: r["text"] for r in chunks.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert left[1] == rows[0][1] and left[5] == passage and left[9] == ""
+
+
 def test_languages_by_out_of_place_distance(spark, docs, empty):
     found = {"en": list(languages.Counter("theotherthings").keys()), "fr": ["e", "é", "ê", "_l", "le", "le_", *"sèvthorngi"]}
     ranker = languages.Ranker(found, 50)
