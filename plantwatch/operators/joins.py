@@ -34,6 +34,14 @@ def lookup(
     return salted_facts.join(salted_dimension, [*on, "_copy"], how).drop("_copy")
 
 
+def lookup_by(
+    facts: DataFrame, dimension: DataFrame, column: str, how: str = "left", at_most: int | None = None, spread_by: list[str] | None = None
+) -> DataFrame:
+    """``lookup`` by one text column, a null in it being a key of its own."""
+    keyed = [f.withColumn("_key", F.coalesce(F.concat(F.lit("f"), F.col(column)), F.lit("n"))) for f in (facts, dimension)]
+    return lookup(keyed[0], keyed[1].drop(column), ["_key"], how, at_most, spread_by).drop("_key")
+
+
 def only_fields(readings: DataFrame, fields: list[str], column: str = "field") -> DataFrame:
     """Rows of the declared fields: the filter that bounds per-field tables."""
     return readings.where(F.col(column).isin(*fields))

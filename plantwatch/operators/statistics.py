@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plantwatch.functions.labels import severity
 from plantwatch.functions.numbers import finite, zscore
-from plantwatch.operators.joins import lookup
+from plantwatch.operators.joins import lookup_by
 from plantwatch.operators.ordered import top_rows
 from plantwatch.schema import FIELD, NUMBER
 
@@ -31,9 +31,7 @@ def scored(
     expects; readings of other fields, and those without a field, are scored like all others.
     """
     base = baseline(readings, value=value) if base is None else base
-    named = [readings, base]
-    readings, base = (f.withColumn("_field", F.coalesce(F.concat(F.lit("f"), F.col(FIELD)), F.lit("n"))) for f in named)
-    joined = lookup(readings, base.drop(FIELD), ["_field"], spread_by=spread_by).drop("_field")
+    joined = lookup_by(readings, base, FIELD, spread_by=spread_by)
     return joined.withColumn("z", zscore(F.col(value), F.col("mean"), F.col("std")))
 
 

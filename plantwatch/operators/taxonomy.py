@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plantwatch.functions.times import seconds_between
+from plantwatch.operators.joins import only_fields
 from plantwatch.schema import TIME
 
 
@@ -116,17 +117,22 @@ def attack_classes(readings: DataFrame, by: list[str] | None = None, scope: Scop
     return classified(window_evidence(readings, by or [], scope), by or [], scope)
 
 
-def correlated(readings: DataFrame, every: str, at_least: int, fields: list[str]) -> DataFrame:
-    """Windows in which several of the declared fields are anomalous at once."""
-    flagged = readings.where((F.col("severity") != "NORMAL") & F.col("field").isin(*fields))
+def correlated(readings: DataFrame, every: str, at_least: int, fields: list[str] | None = None) -> DataFrame:
+    """Windows in which several fields, or several of the named ones, are anomalous at once.
+
+    Readings without a field count as one field, which the text of field names leaves out.
+    """
+    flagged = readings.where(F.col("severity") != "NORMAL")
+    if fields is not None:
+        flagged = only_fields(flagged, fields)
     per_field = flagged.groupBy(F.window(TIME, every).alias("pane"), "field").agg(F.count("*").alias("n"))
     return (
         per_field.groupBy("pane")
-        .agg(F.sort_array(F.collect_list("field")).alias("fields"), F.sum("n").alias("anomalies"))
-        .where(F.size("fields") >= at_least)
+        .agg(F.sort_array(F.collect_list("field")).alias("fields"), F.count("*").cast("int").alias("n_fields"), F.sum("n").alias("anomalies"))
+        .where(F.col("n_fields") >= at_least)
         .select(
             F.col("pane.start").alias("window_start"), F.col("pane.end").alias("window_end"),
-            F.array_join("fields", ",").alias("fields"), F.size("fields").alias("n_fields"), "anomalies",
+            F.array_join("fields", ",").alias("fields"), "n_fields", "anomalies",
         )
     )
 

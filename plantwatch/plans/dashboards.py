@@ -18,8 +18,7 @@ from plantwatch.sources.adapters import EVENT_FIELDS, SERIES, readings
 @query(f"""WITH {BASELINE}
 SELECT CAST(time AS DATE) AS day, field, severity, count(*) AS n FROM banded GROUP BY 1, 2, 3""")
 def severity_by_day(spark, folder):
-    long = R.select_readings(readings(spark, folder), fields=EVENT_FIELDS)
-    scores = S.with_severity(S.scored(long, fields=EVENT_FIELDS))
+    scores = S.with_severity(S.scored(readings(spark, folder)))
     return scores.groupBy(F.to_date("time").alias("day"), "field", "severity").agg(F.count("*").alias("n"))
 
 
@@ -205,11 +204,11 @@ SELECT field, (value_num - low) / nullif(high - low, 0) * 100 AS share FROM long
 SELECT field, CASE WHEN share >= 85 THEN 'red' WHEN share >= 70 THEN 'orange' ELSE 'green' END AS band, count(*) AS n
 FROM placed GROUP BY 1, 2""")
 def percent_band(spark, folder):
-    from plantwatch.operators.joins import lookup
+    from plantwatch.operators.joins import lookup_by
 
-    long = R.select_readings(readings(spark, folder), fields=EVENT_FIELDS)
+    long = readings(spark, folder)
     bounds = long.groupBy("field").agg(F.min("value_num").alias("low"), F.max("value_num").alias("high"))
-    placed = lookup(long, bounds, ["field"], at_most=len(EVENT_FIELDS))
+    placed = lookup_by(long, bounds, "field")
     shown = L.percent_band(F.col("value_num"), F.col("low"), F.col("high"), GAUGE_STEPS)
     return placed.groupBy("field", shown.alias("band")).agg(F.count("*").alias("n"))
 

@@ -264,7 +264,7 @@ def layered_verdict(spark, folder):
 SELECT w AS window_start, w + INTERVAL 1 HOUR AS window_end, string_agg(field, ',' ORDER BY field) AS fields, CAST(count(*) AS INTEGER) AS n_fields, sum(n)::BIGINT AS anomalies
 FROM f GROUP BY w HAVING count(*) >= 2""")
 def sensor_correlation_alert(spark, folder):
-    return X.correlated(banded(spark, folder), "1 hour", 2, EVENT_FIELDS)
+    return X.correlated(banded(spark, folder), "1 hour", 2)
 
 
 @query(f"""WITH {BASELINE}, flagged AS (SELECT *, severity <> 'NORMAL' AS hot FROM banded), marked AS (

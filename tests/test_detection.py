@@ -154,3 +154,43 @@ def test_undeclared_and_missing_fields_are_scored(spark):
     table = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("sixth", 2.0), (None, 4.0), (None, 6.0)], f"{FIELD} string, {NUMBER} double")
     got = sorted(((r[FIELD] or "", r[NUMBER], r["mean"]) for r in S.scored(table, fields=["a"]).collect()))
     assert got == [("", 4.0, 5.0), ("", 6.0, 5.0), ("a", 1.0, 2.0), ("a", 3.0, 2.0), ("sixth", 2.0, 2.0)]
+
+
+@pytest.fixture(scope="module")
+def more_types(spark, folder, tmp_path_factory):
+    """Two folders of events, one time a week, with a sixth type and a missing one, which the second folder calls '~'."""
+    out = tmp_path_factory.mktemp("types")
+    kind = F.when(F.col("event_id") % 3 == 0, "sixth").when(F.col("event_id") % 4 != 0, F.col("event_type"))
+    events = spark.read.parquet(f"{folder}/events.parquet").withColumns({"event_type": kind, "ts": F.date_trunc("week", "ts").cast("timestamp_ntz")})
+    for name, frame in (("nulls", events), ("named", events.fillna("~", ["event_type"]))):
+        frame.coalesce(1).write.parquet(f"{out}/{name}/events.parquet")
+    return str(out)
+
+
+@pytest.mark.parametrize("name", ["severity_by_day", "percent_band", "sensor_correlation_alert"])
+def test_queries_keep_undeclared_and_missing_types(spark, more_types, name):
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{more_types}/named/events.parquet/*.parquet'")
+    frame = entry.queries()[name](spark, f"{more_types}/nulls")
+    columns = [c for c in frame.columns if c != "fields"]  # the text leaves a missing name out
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({entry.oracle_sql()[name]})").fetchall()
+    got = frame.fillna("~", ["field"]) if "field" in columns else frame
+    assert sorted(map(tuple, got.select(*columns).collect())) == sorted(want)
+    if "fields" in frame.columns:
+        assert frame.where("fields like '%sixth%'").count() > 0 and frame.where("n_fields > size(split(fields, ','))").count() > 0
+
+
+def test_isolation_scores_keep_undeclared_and_missing_types(spark, more_types):
+    import __spark_entry__ as entry
+
+    events = spark.read.parquet(f"{more_types}/nulls/events.parquet")
+    found = entry.queries()["iforest_scores"](spark, f"{more_types}/nulls").persist()
+    count = lambda frame, column: {tuple(r) for r in frame.groupBy(column).count().collect()}
+    assert count(found, "field") == count(events, "event_type")
+    assert found.where("value_num is not null and (outlier_score is null or is_outlier is null)").count() == 0
+    assert {r["field"] for r in found.where("is_outlier = 1").select("field").distinct().collect()} >= {None, "sixth"}
+    found.unpersist()
