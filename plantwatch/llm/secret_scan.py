@@ -16,8 +16,6 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Least length of a string judged by its tokens, and the characters per token it stays under.
 LEAST_CHARS = 20
 CHARS_PER_TOKEN = 2.0
-#: Identifiers change between lower case, upper case and digits less often than random strings.
-LEAST_CHANGES = 0.25
 MARK = "[SECRET]"
 
 # Fixed values.
@@ -30,7 +28,9 @@ DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 _WORDY = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST_CHARS)
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _ALL_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
-_CHANGE = re.compile(r"(?<=[a-z])(?=[A-Z0-9])|(?<=[A-Z])(?=[a-z0-9])|(?<=[0-9])(?=[A-Za-z])")
+#: Words of one case joined by underscores, hyphens or slashes, and words of three letters or more joined by case.
+_JOINED = re.compile(r"[_/-]*+(?:(?=[A-Za-z0-9])(?:[A-Z]?[a-z]{0,12}|[A-Z]{1,12})[0-9]{0,4}(?:[_/-]++|$))+")
+_CAMEL = re.compile(r"[a-z]{0,12}(?:[A-Z][a-z]{2,12})+[0-9]{0,4}")
 
 
 @functools.cache
@@ -48,11 +48,11 @@ def token_counter(path: str | None):
 
 def looks_random(text: str, vocabulary: str | None) -> bool:
     """True for strings of few characters per token that are no digest and no identifier."""
-    if text.isalpha() or text.isdigit() or _UUID.fullmatch(text):
+    if text.isdigit() or _UUID.fullmatch(text):
         return False
     if len(text) in DIGEST_LENGTHS and _ALL_HEX.fullmatch(text):
         return False
-    if len(_CHANGE.findall(text)) < LEAST_CHANGES * len(text):
+    if _CAMEL.fullmatch(text) or (any(c in text for c in "_/-") and _JOINED.fullmatch(text)):
         return False
     return len(text) < CHARS_PER_TOKEN * token_counter(vocabulary)(text)
 

@@ -155,6 +155,16 @@ def test_secrets_base_and_random_spans(spark, docs, empty):
     assert secret_scan.find_secrets(empty).count() == 0
 
 
+def test_random_keys_of_letters_and_base32_are_secrets():
+    rng = random.Random(6)
+    for letters in ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"):
+        keys = ["".join(rng.choice(letters) for _ in range(32)) for _ in range(200)]
+        assert all(secret_scan.looks_random(key, None) and secret_scan.redact(f"a {key} b") == "a [SECRET] b" for key in keys)
+    names = ["MAX_RETRY_COUNT_LIMIT_V2", "zh_Hans_CN_utf8_tz_db_id_fk_pk_ix", "getElementsByClassNameAndTagName", "a/b/c/d/e/f/g/h/i/j/k",
+             "Donaudampfschifffahrtsgesellschaft", "NSURLSessionConfigurationDelegate", "12345678901234567890123", "-" * 40]
+    assert not any(secret_scan.looks_random(name, None) for name in names)
+
+
 def test_chunks_cover_texts_and_repeats_are_found(spark, empty):
     rng = random.Random(9)
     sentence = lambda n: " ".join("".join(rng.choice("abcdeéfghij") for _ in range(rng.randint(2, 9))) for _ in range(n))
