@@ -114,3 +114,18 @@ def roc_auc_by_class(spark, folder):
     )
     auc = V.roc_auc_by_class(rows, "label", {"0": "s0", "1": "s1", "2": "s2"})
     return auc.select("class", F.round("roc_auc", 8).alias("roc_auc"))
+
+
+@query("""WITH o AS (SELECT c AS class, CASE WHEN label = c THEN 1 ELSE 0 END AS y, embedding[c + 1]::DOUBLE AS s FROM embeddings, (SELECT unnest(range(10)) AS c) cs), g AS (
+SELECT class, s, sum(y) AS pos, sum(1 - y) AS neg FROM o GROUP BY 1, 2), r AS (SELECT *, sum(neg) OVER (PARTITION BY class ORDER BY s) AS upto FROM g), a AS (
+SELECT class, (sum(pos * (upto - neg / 2)) / (sum(pos) * sum(neg)))::DOUBLE AS auc FROM r GROUP BY class)
+SELECT CAST(class AS VARCHAR) AS class, round(auc, 8) AS roc_auc FROM a UNION ALL SELECT 'macro', round(avg(auc), 8) FROM a""")
+def roc_auc_all_classes(spark, folder):
+    """One-vs-rest areas of all ten classes and their mean."""
+    names = [str(i) for i in range(10)]
+    rows = table(spark, folder, "embeddings").select(
+        F.col("label").cast("string").alias("label"), *[F.col("embedding")[int(n)].cast("double").alias(f"s{n}") for n in names]
+    )
+    areas = V.roc_auc_by_class(rows, "label", {n: f"s{n}" for n in names})
+    macro = V.macro_auc(areas).select(F.lit("macro").alias("class"), F.col("macro_auc").alias("roc_auc"))
+    return areas.unionByName(macro).select("class", F.round("roc_auc", 8).alias("roc_auc"))
