@@ -9,6 +9,7 @@ from plantwatch.llm.languages import op7_languages
 from plantwatch.llm.licenses import op9_licenses
 from plantwatch.llm.mixture import OP1_SQL, op1_mixture
 from plantwatch.llm.packing import op10_packing
+from plantwatch.llm.prefix_trie import OP12_SQL, op12_prefixes
 from plantwatch.llm.secret_scan import op5_secrets
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     for fn in (
         op1_mixture, op2_fixity, op3_neighbours, op4_fingerprints, op5_secrets,
         op6_substrings, op7_languages, op8_jaccard, op9_licenses, op10_packing,
+        op12_prefixes,
     )
 }
-ORACLES = {"op1_mixture": OP1_SQL, "op2_fixity": OP2_SQL}
+ORACLES = {"op1_mixture": OP1_SQL, "op2_fixity": OP2_SQL, "op12_prefixes": OP12_SQL}
