@@ -11,13 +11,15 @@ from plantwatch.llm.mixture import OP1_SQL, op1_mixture
 from plantwatch.llm.packing import op10_packing
 from plantwatch.llm.prefix_trie import OP12_SQL, op12_prefixes
 from plantwatch.llm.secret_scan import op5_secrets
+from plantwatch.llm.toxicity import op11_toxicity
+from plantwatch.llm.whitening import op13_whitening
 
 QUERIES = {
     fn.__name__: fn
     for fn in (
         op1_mixture, op2_fixity, op3_neighbours, op4_fingerprints, op5_secrets,
         op6_substrings, op7_languages, op8_jaccard, op9_licenses, op10_packing,
-        op12_prefixes,
+        op11_toxicity, op12_prefixes, op13_whitening,
     )
 }
 ORACLES = {"op1_mixture": OP1_SQL, "op2_fixity": OP2_SQL, "op12_prefixes": OP12_SQL}
