@@ -165,7 +165,9 @@ def vocabulary(texts: DataFrame, most: int = FEATURES) -> dict[str, float]:
                 words = {w for a, b in pieces(text) for w in _TOKEN.findall(text, a, b) if is_word(w)}
                 counts[toxic].update(set().union(*map(features, words)))
         for toxic, found in enumerate(counts):
-            yield pa.RecordBatch.from_pydict({"feature": list(found), "toxic": pa.array([toxic] * len(found), pa.int32()), "n": list(found.values())})
+            yield pa.RecordBatch.from_pydict({
+                "feature": pa.array(list(found), pa.string()), "toxic": pa.array([toxic] * len(found), pa.int32()), "n": pa.array(list(found.values()), pa.int64()),
+            })
 
     def times(toxic: int):
         return F.sum(F.when(F.col("toxic") == toxic, F.col("n")).otherwise(0))

@@ -2,10 +2,10 @@
 
 Executors sum the moments of the distinct vectors. The eigenpairs of the covariance V that are wanted
 lie above some number; inertia counts (signs of the pivots of V - sI, from a tridiagonal form of V)
-find intervals that hold them and whose ends lie in gaps of the spectrum. For each interval, solves with V shifted to points of
-a circle around it, summed by quadrature, project a random block onto its eigenvectors (FEAST);
-Rayleigh-Ritz in the projected space gives eigenpairs, and the steps repeat until their residuals vanish
-and their number equals the interval's inertia count, so none is missed.
+find intervals that hold them and whose ends lie in gaps of the spectrum. For each interval, solves
+with V shifted to points of a circle around it, summed by quadrature, project a random block onto its
+eigenvectors (FEAST); Rayleigh-Ritz in the projected space gives eigenpairs, and the steps repeat until
+their residuals vanish and their number equals the interval's inertia count, so none is missed.
 
 The solver works on one V (dimension squared numbers, whatever the number of rows) in a task of its own
 for each length of vectors; everything that grows with the rows stays distributed.
@@ -164,12 +164,12 @@ def leading(v: np.ndarray, wanted: int = COMPONENTS) -> tuple[np.ndarray, np.nda
 
 
 def whole_vectors(embeddings: DataFrame, column: str = "embedding") -> DataFrame:
-    """vec_id and x, the vector as longs, of the rows whose vector is there and has finite entries only.
+    """vec_id and x, the vector as longs, of the rows whose vector is there, not empty, and has finite entries only.
 
     Entries too large for a long become the largest or smallest that fits.
     """
     vector = F.col(column).cast("array<double>")
-    fine = F.col(column).isNotNull() & F.forall(vector, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
+    fine = (F.size(vector) > 0) & F.forall(vector, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
     most = F.lit((1 << 63) - 1 - SHIFT)
     whole = F.transform(vector, lambda c: F.least(F.floor(c * SCALE), most) + SHIFT)
     return embeddings.where(fine).select(F.col("vec_id").cast("bigint").alias("vec_id"), whole.alias("x"))
@@ -261,7 +261,7 @@ def fitted(fit: DataFrame, sums: dict[int, tuple[int, list[int]]], wanted: int =
         values, vectors = leading((v + v.T) / 2, wanted)
         return pd.DataFrame({
             "size": size, "component": np.arange(1, len(values) + 1, dtype=np.int32), "value": values,
-            "share": values / np.trace(v) if len(values) else values, "vector": list(vectors.T),
+            "share": values / np.trace(v) if len(values) else values, "vector": pd.Series(list(vectors.T), dtype=object),
         })
 
     products = summed_products(fit, lambda x: x.astype(np.float64) - means[x.shape[1]])
