@@ -35,6 +35,13 @@ def small_or_plain(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(frame) if frame.limit(rows + 1).count() <= rows else frame
 
 
+def set_aside(docs: DataFrame, used: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """docs with all columns but the used ones under names that clash with nothing, and how to get them back."""
+    inner = {n: n if n in used else f"_aside_{i}" for i, n in enumerate(docs.columns)}
+    renamed = docs.select(*(F.col(f"`{n}`").alias(k) for n, k in inner.items()))
+    return renamed, lambda frame: frame.select(*(F.col(k).alias(n) for n, k in inner.items()))
+
+
 def text_key(column: Column | str) -> Column:
     """A key without nulls, so that plain joins and windows keep rows whose value is null."""
     value = F.col(column) if isinstance(column, str) else column

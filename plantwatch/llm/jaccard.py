@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantwatch.llm.common import cuts, joined_bytes, mixed, read_table, saved, small_or_plain, text_key
+from plantwatch.llm.common import SLAB_BYTES, cuts, joined_bytes, mixed, read_table, saved, small_or_plain, text_key
 from plantwatch.llm.components import components
 
 SHINGLE = 5
@@ -60,10 +60,15 @@ _POWERS: dict[int, np.ndarray] = {}
 
 
 def _powers(base: int, count: int) -> np.ndarray:
+    """Powers of the base from 0; those that a slab needs are kept, longer texts have their own."""
     if base not in _POWERS or len(_POWERS[base]) < count:
-        steps = np.full(max(count, 1 << 21), np.uint64(base))
+        steps = np.full(max(count, SLAB_BYTES + (SLAB_BYTES >> 3)), np.uint64(base))
         steps[0] = 1
-        _POWERS[base] = np.multiply.accumulate(steps)
+        powers = np.multiply.accumulate(steps)
+        if base in _POWERS:
+            return powers[:count]
+        _POWERS[base] = powers[: SLAB_BYTES + (SLAB_BYTES >> 3)].copy()
+        return powers[:count]
     return _POWERS[base][:count]
 
 

@@ -11,18 +11,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantwatch.llm.common import cuts, read_table, saved, small_or_plain
+from plantwatch.llm.common import cuts, read_table, saved, set_aside, small_or_plain
 
 #: Labelled documents that a language's profile is counted on (expected number, chosen by digest).
 PROFILE_DOCS = 500
 #: n-grams of a profile, and of a document, that are ranked.
 RANKED = 300
-#: Letters of the profiles that get a code of their own; other letters share one.
-LETTERS = 1000
+#: Bits of a letter's code at least; more, if the profiles have more letters. Letters in no profile share a code.
+LETTER_BITS = 10
 UNKNOWN = "und"
 #: Documents whose score is below are rejected by the pipeline, as are those without a letter.
 LEAST_SCORE = 0.05
-_SLAB_ROWS = 4000
+#: Bytes and rows of texts ranked in one pass; a longer text is a pass of its own.
+_SLAB_BYTES, _SLAB_ROWS = 1 << 18, 1000
 
 
 @functools.cache
@@ -89,17 +90,17 @@ class Ranker:
     def __init__(self, found: dict[str, list[str]], ranked: int = RANKED):
         self.names, self.ranked = sorted(found), ranked
         used = Counter(c for grams in found.values() for g in grams for c in g if c != "_")
-        letters = [c for c, _ in sorted(used.items(), key=lambda x: (-x[1], x[0]))[:LETTERS]]
-        self.codes = np.where(letter_table(), np.uint16(len(letters) + 1), np.uint16(0))
+        letters = sorted(used)
+        self.bits = max(LETTER_BITS, (len(letters) + 1).bit_length())
+        self.codes = np.where(letter_table(), np.uint32(len(letters) + 1), np.uint32(0))
         for i, c in enumerate(letters):
             self.codes[ord(c)] = i + 1
         known = {c: i + 1 for i, c in enumerate(letters)} | {"_": 0}
         ranks: dict[int, dict[int, int]] = {}
         for j, name in enumerate(self.names):
             for place, gram in enumerate(found[name]):
-                if all(c in known for c in gram):
-                    code = functools.reduce(lambda high, c: (high << 10) + known[c], gram, 0) + ((len(gram) - 1) << 30)
-                    ranks.setdefault(code, {})[j] = place
+                code = functools.reduce(lambda high, c: (high << self.bits) + known[c], gram, 0) + ((len(gram) - 1) << 3 * self.bits)
+                ranks.setdefault(code, {})[j] = place
         self.grams = np.array(sorted(ranks), np.int64)
         self.places = np.full((len(ranks) + 1, len(self.names)), -1, np.int64)
         for i, code in enumerate(self.grams.tolist()):
@@ -121,20 +122,25 @@ class Ranker:
         c, d = np.append(0, codes[keep]), np.append(-1, doc[keep])
         if len(keep) == 0:
             return best, score
-        one, two, three = c[1:], (c[:-1] << 10) + c[1:], (c[:-2] << 20) + (c[1:-1] << 10) + c[2:]
-        own = d[1:] << 32
+        bits, width = self.bits, 3 * self.bits + 2  # of a letter and of a gram with its length; 63 hold 1000 rows of 17 bits a letter
+        one, two, three = c[1:], (c[:-1] << bits) + c[1:], (c[:-2] << 2 * bits) + (c[1:-1] << bits) + c[2:]
+        own = d[1:] << width
         two_own = np.where(c[1:] > 0, own, np.append(-1, own[:-1]))  # a closing gap belongs to the word before
         keys = np.concatenate([
             (own | one)[one > 0],
-            (two_own | (1 << 30) | two)[(c[1:] > 0) | (c[:-1] > 0)],
-            ((d[1:-1] << 32) | (2 << 30) | three)[c[1:-1] > 0],
+            (two_own | (1 << 3 * bits) | two)[(c[1:] > 0) | (c[:-1] > 0)],
+            ((d[1:-1] << width) | (2 << 3 * bits) | three)[c[1:-1] > 0],
         ])
         keys.sort()
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        count = np.minimum(np.diff(np.append(first, len(keys))), (1 << 19) - 1)
-        gram = keys[first] & ((1 << 32) - 1)
-        order = np.sort(((keys[first] >> 32) << 51) | ((((1 << 19) - 1) - count) << 32) | gram)
-        of, gram = order >> 51, order & ((1 << 32) - 1)
+        count = np.diff(np.append(first, len(keys)))
+        of, gram = keys[first] >> width, keys[first] & ((1 << width) - 1)
+        if count.max() < 1 << 19 and width == 32:  # one sort by row, falling count and gram
+            order = np.sort((of << 51) | ((((1 << 19) - 1) - count) << 32) | gram)
+            of, gram = order >> 51, order & ((1 << 32) - 1)
+        else:
+            order = np.lexsort((gram, -count, of))
+            of, gram = of[order], gram[order]
         begins = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
         place = np.arange(len(of)) - np.repeat(begins, np.diff(np.append(begins, len(of))))
         top = place < self.ranked
@@ -165,7 +171,7 @@ def predicted(docs: DataFrame, found: dict[str, list[str]], ranked: int = RANKED
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranker = Ranker(found, ranked)
         for batch in batches:
-            for start, end in cuts(batch):
+            for start, end in cuts(batch, _SLAB_BYTES):
                 for i in range(start, end, _SLAB_ROWS):
                     part = batch.slice(i, min(end - i, _SLAB_ROWS))
                     langs, scores = ranker.predict(part.column("text").to_pylist())
@@ -177,9 +183,14 @@ def predicted(docs: DataFrame, found: dict[str, list[str]], ranked: int = RANKED
 
 
 def accepted(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """The rows of docs with a recognised language, in the columns of docs."""
-    kept = predicted(docs, profiles(docs)).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return kept.select(*docs.columns)
+    """The rows of docs with a recognised language, in the columns of docs and with their values.
+
+    Null texts and those without a letter go; null ids, repeated rows and columns named like those of
+    ``predicted`` stay as they are. Without any labelled text nothing is recognised, and all rows go.
+    """
+    own, back = set_aside(docs, ["doc_id", "text", "lang"])
+    kept = predicted(own, profiles(own)).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return back(kept)
 
 
 def op7_languages(spark, folder: str) -> DataFrame:

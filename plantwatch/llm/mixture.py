@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantwatch.llm.common import in_order, read_table, saved, small_or_plain, text_key
+from plantwatch.llm.common import in_order, read_table, saved, set_aside, small_or_plain, text_key
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
@@ -52,6 +52,7 @@ def mix(
     max_repeats: int = MAX_REPEATS,
     seed: str = SEED,
     slice_rows: int = SLICE_ROWS,
+    ties: str | None = None,
 ) -> DataFrame:
     """Adds to each row: size, source_size, target, copies, taken.
 
@@ -63,7 +64,8 @@ def mix(
 
     Null text: size 0. Null source: a source of its own, last. Null doc_id: first in its slice.
     Repeated rows: each counts. Empty table: empty. A source without words has target 0 and takes
-    nothing. Other columns pass through; input columns named like the added ones are replaced.
+    nothing. Other columns pass through; input columns named like the added ones are replaced. ``ties``
+    names a column that orders rows of one size and doc_id.
     """
     added = ["size", "source_size", "target", "copies", "taken"]
     sized = docs.drop(*[c for c in added if c in docs.columns]).withColumn(
@@ -74,7 +76,7 @@ def mix(
         "_class": F.length(F.bin("size")) * 8 + F.expr("cast(size * 8 div shiftleft(1L, length(bin(size)) - 1) as int)"),
         "_slice": F.expr("substring(md5(coalesce(cast(doc_id as string), '')), 1, _digits)"),
     })
-    placed = in_order(sliced, ["_source"], ["_class", "_slice"], [F.col("size"), F.col("doc_id")], "_place")
+    placed = in_order(sliced, ["_source"], ["_class", "_slice"], [F.col("size"), F.col("doc_id"), *([F.col(ties)] if ties else [])], "_place")
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.col("_source"))), 1, 13), 16, 10).cast("long") / F.lit(float(2**52))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     passed = F.floor(rate * F.col("_place") + offset) - F.floor(rate * (F.col("_place") - 1) + offset)
@@ -86,9 +88,16 @@ def mix(
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each row of docs as often as it is taken, with the columns of docs."""
-    taken = mix(docs, **options).where("copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    """The mix itself: each row of docs as often as it is taken, with the columns of docs and their values.
+
+    Columns named like those of ``mix``, or like its working columns, stay as they are. Ties of size and
+    doc_id are taken in the order of their texts' digests. Null and empty texts have no words: they are
+    copied like the others of their source; a source without words takes nothing.
+    """
+    own, back = set_aside(docs, ["doc_id", "source", "text"])
+    ties = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
+    taken = mix(own.withColumn("_tie", ties), **options, ties="_tie").where("copies > 0")
+    return back(taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))))
 
 
 def op1_mixture(spark, folder: str) -> DataFrame:

@@ -8,6 +8,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +23,11 @@ CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "byte_bpe_50k.json"
 SLICE_ROWS = 100_000
-#: Distinct words whose ids a worker keeps; when full, it starts afresh.
-KEPT_WORDS = 1_000_000
+#: Bytes of words and their ids that a task keeps, objects included; when full, it starts afresh.
+KEPT_BYTES = 24 << 20
+_OBJECT_BYTES = 200
 #: Bytes of text encoded at once.
-ENCODE_BYTES = 8 << 20
+ENCODE_BYTES = 2 << 20
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _BLACK = re.compile(r" ?\S+(\n\S+)*\Z")
 _SPACE_THEN_BLANK = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
@@ -40,7 +42,9 @@ class WordEncoder:
     """Token ids of texts, each distinct word given to the tokenizer once.
 
     A blank that follows a non-space always begins a token of this vocabulary's pattern, so texts
-    are cut there; those with other space before a blank are cut only between two non-spaces.
+    are cut there; those with other space before a blank are cut only between two non-spaces. Words that
+    hold one of the vocabulary's special strings are encoded by themselves; with special strings that
+    hold or take in space, whole texts are.
     """
 
     def __init__(self, path: str | None):
@@ -52,8 +56,11 @@ class WordEncoder:
 
             path = public_tokenizers.path(TOKENIZER)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = list(self.tokenizer.get_added_tokens_decoder().values())
+        self.special = [t.content for t in added]
+        self.cut_at_blanks = not any(t.lstrip or t.rstrip or t.single_word or re.search(r"\s", t.content) for t in added)
         self.known: dict[str, bytes] = {}
+        self.kept = 0
         line = self._ids("\n")
         self.line = line[0] if len(line) == 1 else None
 
@@ -61,10 +68,14 @@ class WordEncoder:
         return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def words(self, words: list[str]) -> list[bytes]:
-        known = self.known
-        if len(known) > KEPT_WORDS:
-            known.clear()
+        if self.kept > KEPT_BYTES:
+            self.forget()
+        known, before = self.known, len(self.known)
         new = [w for w in dict.fromkeys(words) if w not in known]
+        for word in new:
+            if any(s in word for s in self.special):
+                known[word] = self._ids(word).tobytes()
+        new = [w for w in new if w not in known]
         # a line end between non-spaces is a token of its own: words are cut there, and joined by it for one call
         parted = {w: parts for w in new if self.line is not None and _BLACK.match(w) and (parts := w.split("\n"))}
         plain = [w for w in dict.fromkeys(p for parts in parted.values() for p in parts) if w not in known]
@@ -79,9 +90,16 @@ class WordEncoder:
         for word in new:
             if word not in known:
                 known[word] = line.join([known[p] for p in parted[word]]) if word in parted else self._ids(word).tobytes() if word else b""
-        return [known[w] for w in words]
+        found = [known[w] for w in words]
+        self.kept += sum(len(w) + len(i) + _OBJECT_BYTES for w, i in islice(reversed(known.items()), len(known) - before))
+        return found
+
+    def forget(self) -> None:
+        self.known, self.kept = {}, 0
 
     def one(self, text: str) -> bytes:
+        if not self.cut_at_blanks:
+            return self._ids(text).tobytes()
         first, *rest = _INNER_SPACE.split(text)
         return b"".join(self.words([first, *(" " + w for w in rest)]))
 
@@ -89,7 +107,7 @@ class WordEncoder:
         """Little-endian 32-bit ids of each text; null is empty."""
         texts = pc.fill_null(texts, "")
         odd = pc.match_substring_regex(texts, _SPACE_THEN_BLANK).to_numpy(zero_copy_only=False)
-        odd |= pc.match_substring_regex(texts, "^ | $").to_numpy(zero_copy_only=False)
+        odd |= pc.match_substring_regex(texts, "^ | $").to_numpy(zero_copy_only=False) | (not self.cut_at_blanks)
         lists = pc.split_pattern(pc.if_else(pa.array(odd), "", texts), " ")
         flat, firsts = lists.flatten(), lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
         coded = flat.dictionary_encode()
@@ -126,6 +144,12 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer)
+        try:
+            yield from cut(encoder, batches)
+        finally:  # the worker lives on, with other tasks
+            encoder.forget()
+
+    def cut(encoder: WordEncoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.asarray([END_ID], "<u4").tobytes()
         for part in (b.slice(i, j - i) for b in batches for i, j in cuts(b, ENCODE_BYTES)):
             rows: list[tuple] = []
@@ -135,9 +159,9 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
                 start, k = 0, 0
                 while start < total:
                     stop = start + capacity if start else (total % capacity or min(total, capacity))
-                    cut = ids[4 * start : 4 * stop]
-                    row = (doc, k, start, stop - start, zlib.crc32(cut))
-                    rows.append((*row, np.frombuffer(cut, "<u4").astype(np.int32)) if with_ids else row)
+                    own = ids[4 * start : 4 * stop]
+                    row = (doc, k, start, stop - start, zlib.crc32(own))
+                    rows.append((*row, np.frombuffer(own, "<u4").astype(np.int32)) if with_ids else row)
                     start, k = stop, k + 1
             columns = zip(*rows) if rows else [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)

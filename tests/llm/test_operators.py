@@ -319,7 +319,6 @@ def test_packing_is_whole_and_best_fit(spark, docs, empty):
     import public_tokenizers
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
-    tokenizer.encode_special_tokens = True
     capacity = 64
     packed = packing.pack(docs, capacity=capacity, with_ids=True, slice_rows=3)
     rows = packed.collect()
@@ -352,12 +351,50 @@ def test_packing_is_whole_and_best_fit(spark, docs, empty):
 def test_word_encoder_equals_the_tokenizer():
     import pyarrow as pa
 
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    plain = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
     encoder = packing.word_encoder(None)
     rng = random.Random(1)
-    texts = ["a  b", " a", "\n\n x\n y  \t z", "don't  we'll 's", "a\xa0b 　c", "x <|endoftext|> y", None, ""]
+    texts = ["a  b", " a", "\n\n x\n y  \t z", "don't  we'll 's", "a\xa0b 　c", "x <|endoftext|> y", "<|endoftext|>", "a\n<|endoftext|>\nb c", "a<|endoftext|>b  <|endoftext|> <|endoftext|>", "q\nr\ns t", None, ""]
     texts += ["".join(rng.choice(" \n\ta1é'!s ") for _ in range(40)) for _ in range(300)]
+    texts += ["".join(rng.choice([" ", "\n", "a", "<|endoftext|>", "b "]) for _ in range(30)) for _ in range(200)]
     for text, got in zip(texts, encoder.many(pa.array(texts))):
-        assert np.frombuffer(got, "<u4").tolist() == encoder.tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert np.frombuffer(got, "<u4").tolist() == plain.encode(text or "", add_special_tokens=False).ids
+
+
+def test_words_kept_by_the_encoder_are_bounded(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(packing, "KEPT_BYTES", 100_000)
+    encoder = packing.WordEncoder(None)
+    for i in range(60):
+        encoder.many(pa.array([" ".join(f"w{i}x{j}" for j in range(200))]))
+        assert encoder.kept <= 100_000 + 200 * 300 and len(encoder.known) <= 800
+    encoder.forget()
+    assert not encoder.known
+
+
+def test_stages_keep_columns_that_clash(spark):
+    ddl = "doc_id bigint, text string, lang string, source string, n_chars bigint, size string, copies string, _source string, _slice int, score string, lang_pred int"
+    rows = [(i, "the cat and the dog " * (i + 1), "en", "a", 1, "s", "c", "o", 7, "x", 5) for i in range(8)] + [(None, None, None, None, None, "s", None, None, 1, None, 2)]
+    docs = spark.createDataFrame(rows, ddl)
+    for made in (mixture.mixed_rows(docs), languages.accepted(docs)):
+        assert made.schema == docs.schema or made.dtypes == docs.dtypes
+        assert made.count() and {tuple(r) for r in made.collect()} <= set(rows)
+    again = docs.unionByName(docs.limit(0))
+    assert sorted(map(str, mixture.mixed_rows(docs.repartition(3)).collect())) == sorted(map(str, mixture.mixed_rows(again).collect()))
+
+
+def test_languages_rank_all_counts_and_letters():
+    found = {"a": ["x", "y", "z"], "b": ["z", "y", "x"]}
+    text = "z " * 600_000 + "y " * 560_000 + "x " * 530_000
+    assert languages.Ranker(found, 3).predict([text])[0] == ["b"]
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 3000)]
+    many = {"h": letters[:1500], "i": letters[1500:]}
+    assert languages.Ranker(many, 1500).predict([" ".join(letters[2900:]), " ".join(letters[:50]), None, "12"])[0] == ["i", "h", "und", "und"]
 
 
 def test_pipeline_stages(spark, folder):
