@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -67,6 +69,22 @@ def counted_before(counts: DataFrame, keys: list[str], slices: list[str]) -> Dat
     return counts.select(*keys, *slices, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
 
 
+def freed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The task's function, after which its worker hands unused memory back; workers live on between tasks,
+    beside an executor's heap, and would each keep the most they ever held."""
+
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return task
+
+
 def by_slab(
     make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: pa.Schema
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -78,7 +96,7 @@ def by_slab(
             for start, end in cuts(batch):
                 yield pa.RecordBatch.from_pydict(work(batch.slice(start, end - start)), schema)
 
-    return run
+    return freed(run)
 
 
 def cuts(batch: pa.RecordBatch, limit: int = SLAB_BYTES, column: str = "text") -> Iterator[tuple[int, int]]:

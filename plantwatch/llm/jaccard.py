@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantwatch.llm.common import SLAB_BYTES, cuts, joined_bytes, mixed, read_table, saved, small_or_plain, text_key
+from plantwatch.llm.common import SLAB_BYTES, cuts, freed, joined_bytes, mixed, read_table, saved, small_or_plain, text_key
 from plantwatch.llm.components import components
 
 SHINGLE = 5
@@ -204,7 +204,7 @@ def _common_shingles(rows: DataFrame, buckets: int, least: int, most: int) -> np
             hit = total > least
             yield pa.RecordBatch.from_pydict({"shingle": every[first][hit].astype(np.int64), "n": total[hit].astype(np.int64)})
 
-    counted = rows.mapInArrow(send, "bucket int, raw binary").repartition("bucket").mapInArrow(count, "shingle bigint, n bigint")
+    counted = rows.mapInArrow(freed(send), "bucket int, raw binary").repartition("bucket").mapInArrow(freed(count), "shingle bigint, n bigint")
     top = counted.orderBy(F.desc("n"), "shingle").limit(most).toArrow()
     return np.sort(top["shingle"].to_numpy().astype(np.uint32)) if top.num_rows else np.zeros(0, np.uint32)
 
@@ -285,8 +285,8 @@ def _regions(rows: DataFrame, buckets: int, common: np.ndarray) -> DataFrame:
                 out = _sent(np.zeros(k), np.ones(k), [None] * k, every[i : i + 100_000], own[i : i + 100_000], [None] * k)
                 yield out.drop_columns(["bucket"])
 
-    sent = rows.mapInArrow(send, _SENT_DDL).repartition("bucket")
-    return saved(sent.mapInArrow(meet, _SENT_DDL.replace("bucket int, ", "")), "regions")
+    sent = rows.mapInArrow(freed(send), _SENT_DDL).repartition("bucket")
+    return saved(sent.mapInArrow(freed(meet), _SENT_DDL.replace("bucket int, ", "")), "regions")
 
 
 def _sent(*columns) -> pa.RecordBatch:
@@ -405,7 +405,7 @@ def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     classes = classes.join(small_or_plain(saved(ends.distinct(), "ends")), "class", "left_semi")
     sides = [classes.select(F.col("class").alias(c), F.col("n").alias(f"_n{c}"), F.col("bits").alias(f)) for c, f in (("a", "_x"), ("b", "_y"))]
     both = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "_x", "_y", (F.col("_na") + F.col("_nb")).cast("long").alias("_sizes"))
-    return saved(both.mapInArrow(keep, "a bigint, b bigint, apart double"), "possible")
+    return saved(both.mapInArrow(freed(keep), "a bigint, b bigint, apart double"), "possible")
 
 
 def _linked(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
@@ -445,7 +445,7 @@ def _linked(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
                     a, b = zip(*found)
                     yield pa.RecordBatch.from_pydict({"a": list(a), "b": list(b)})
 
-    return saved(meeting.mapInArrow(compare, "a bigint, b bigint").distinct(), "links")
+    return saved(meeting.mapInArrow(freed(compare), "a bigint, b bigint").distinct(), "links")
 
 
 def near_groups(docs: DataFrame, common: int = COMMON, common_kept: int = COMMON_KEPT, cell_rows: int = CELL_ROWS) -> DataFrame:
@@ -481,7 +481,7 @@ def near_groups(docs: DataFrame, common: int = COMMON, common_kept: int = COMMON
     order = ["shingle", "i", "j"]
     to_pivots = own_cell.select(*order, "class", "n", "raw").repartition(*order).sortWithinPartitions(*order)
     tried = Window.partitionBy("a").orderBy("apart", "b")
-    stars = _possible(saved(to_pivots.mapInArrow(_pivot_pairs, "a bigint, b bigint").distinct(), "near-pivots"), classes)
+    stars = _possible(saved(to_pivots.mapInArrow(freed(_pivot_pairs), "a bigint, b bigint").distinct(), "near-pivots"), classes)
     stars = stars.withColumn("_nth", F.row_number().over(tried)).where(F.col("_nth") <= PIVOTS_TRIED).select("a", "b")
     links = _linked(stars, classes, rows)
     first = components(links)
@@ -489,7 +489,7 @@ def near_groups(docs: DataFrame, common: int = COMMON, common_kept: int = COMMON
     grouped = placed.join(saved(state.select("class", "n", "raw", "odd", "component"), "state"), "class")
     every = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least("own", k).alias("i"), F.greatest("own", k).alias("j")))
     cells = grouped.withColumn("_cell", F.explode(every)).select("shingle", "_cell.i", "_cell.j", "own", "class", "n", "raw", "odd", "component")
-    crossing = cells.repartition(*order).sortWithinPartitions(*order).mapInArrow(_cross_pairs, "a bigint, b bigint").distinct()
+    crossing = cells.repartition(*order).sortWithinPartitions(*order).mapInArrow(freed(_cross_pairs), "a bigint, b bigint").distinct()
     more = _linked(_possible(saved(crossing, "crossing"), classes).select("a", "b"), classes, rows)
     joined = components(links.unionByName(more)).withColumnRenamed("node", "class")
     named = members.where("n > 0").select("doc_id", "class").join(joined, "class", "left").withColumn("component", F.coalesce("component", "class"))

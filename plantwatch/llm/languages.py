@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantwatch.llm.common import cuts, read_table, saved, set_aside, small_or_plain
+from plantwatch.llm.common import cuts, freed, read_table, saved, set_aside, small_or_plain
 
 #: Labelled documents that a language's profile is counted on (expected number, chosen by digest).
 PROFILE_DOCS = 500
@@ -72,7 +72,7 @@ def profiles(docs: DataFrame, per_language: int = PROFILE_DOCS, ranked: int = RA
         for lang, grams in totals.items():
             yield pa.RecordBatch.from_pydict({"lang": [lang] * len(grams), "gram": list(grams), "n": list(grams.values())})
 
-    counted = chosen.select("lang", "text").mapInArrow(count, "lang string, gram string, n bigint")
+    counted = chosen.select("lang", "text").mapInArrow(freed(count), "lang string, gram string, n bigint")
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
     top = (
         counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -179,7 +179,7 @@ def predicted(docs: DataFrame, found: dict[str, list[str]], ranked: int = RANKED
                     yield part.append_column("score", pa.array(scores, pa.float64()))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema)
-    return plain.mapInArrow(run, schema + ", lang_pred string, score double")
+    return plain.mapInArrow(freed(run), schema + ", lang_pred string, score double")
 
 
 def accepted(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:

@@ -17,17 +17,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plantwatch.llm.common import cuts, in_order, read_table, saved
+from plantwatch.llm.common import cuts, freed, in_order, read_table, saved
 
 CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "byte_bpe_50k.json"
 SLICE_ROWS = 100_000
 #: Bytes of words and their ids that a task keeps, objects included; when full, it starts afresh.
-KEPT_BYTES = 24 << 20
+KEPT_BYTES = 64 << 20
 _OBJECT_BYTES = 200
 #: Bytes of text encoded at once.
-ENCODE_BYTES = 2 << 20
+ENCODE_BYTES = 4 << 20
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _BLACK = re.compile(r" ?\S+(\n\S+)*\Z")
 _SPACE_THEN_BLANK = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
@@ -168,7 +168,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
 
     kinds = {"doc_id": "bigint", "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "ids": "array<int>"}
     ids = F.col("doc_id").cast("bigint").alias("doc_id")
-    return docs.select(ids, "text").mapInArrow(run, ", ".join(f"{n} {kinds[n]}" for n in names))
+    return docs.select(ids, "text").mapInArrow(freed(run), ", ".join(f"{n} {kinds[n]}" for n in names))
 
 
 class OpenBins:

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from plantwatch.llm.common import read_table
+from plantwatch.llm.common import freed, read_table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Least length of a string judged by its tokens, and the characters per token it stays under.
@@ -103,7 +103,7 @@ def find_secrets(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
     counts = ", ".join(f"n_{k} bigint" for k in KINDS)
     wanted = docs.selectExpr("cast(doc_id as bigint) doc_id", "text")
-    return wanted.mapInArrow(run, f"doc_id bigint, {counts}, base_sha256 string, spans string")
+    return wanted.mapInArrow(freed(run), f"doc_id bigint, {counts}, base_sha256 string, spans string")
 
 
 def redact(text: str, vocabulary: str | None = None, mark: str = MARK) -> str:
@@ -133,7 +133,7 @@ def redacted(docs: DataFrame, vocabulary: str | None = None, mark: str = MARK) -
                 out = out.set_column(batch.schema.get_field_index("n_chars"), "n_chars", pa.array(counts, given.type))
             yield out
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(freed(run), docs.schema)
 
 
 def op5_secrets(spark, folder: str) -> DataFrame:
