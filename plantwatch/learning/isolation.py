@@ -13,9 +13,10 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plantwatch.learning.steps import rate_cuts
 from plantwatch.operators.joins import lookup_by, only_fields
 from plantwatch.operators.ordered import first_rows
 
@@ -63,23 +64,13 @@ def score(readings: DataFrame, model: DataFrame, value: str = "value_num", name:
 
 
 def flagged(scores: DataFrame, rates: DataFrame, fields: list[str] | None = None, name: str = "outlier_score") -> DataFrame:
-    """Marks the ``anomaly_rate`` share of highest scores per field.
+    """Marks the ``anomaly_rate`` share of highest scores per field, among the rows given.
 
-    Scores take few distinct values per field, so the cut is found on counts per value. Readings
+    A stored model judges new rows by the cut of its training rows instead, see ``steps``. Readings
     without a score, or of a field without a rate, stay and have no mark.
     """
-    bound = None if fields is None else len(fields)
-    counts = scores.where(F.col(name).isNotNull()).groupBy("field", F.col(name).alias("s")).agg(F.count("*").alias("n"))
-    falling = Window.partitionBy("field").orderBy(F.desc("s"))
-    within = Window.partitionBy("field")
-    cut = (
-        lookup_by(counts, rates.select("field", "anomaly_rate"), "field", "inner", at_most=bound)
-        .withColumn("_upto", F.sum("n").over(falling))
-        .withColumn("_allowed", F.ceil(F.col("anomaly_rate") * F.sum("n").over(within)))
-        .groupBy("field")
-        .agg(F.coalesce(F.min(F.when(F.col("_upto") <= F.col("_allowed"), F.col("s"))), F.max("s")).alias("_cut"))
-    )
-    marked = lookup_by(scores, cut, "field", at_most=bound)
+    cut = rate_cuts(scores, rates, name).withColumnRenamed("cut", "_cut")
+    marked = lookup_by(scores, cut, "field")
     return marked.withColumn("is_outlier", (F.col(name) >= F.col("_cut")).cast("int")).drop("_cut")
 
 
@@ -90,7 +81,7 @@ def _samples(known: DataFrame, fields: list[str] | None, key: str, trees: int, s
     many trees in a small field, to none mostly in a large one.
     """
     sizes = known.groupBy("field").agg(F.count("*").alias("n"))
-    counted = lookup_by(known, sizes, "field", "inner", at_most=None if fields is None else len(fields))
+    counted = lookup_by(known, sizes, "field", "inner")
     share = F.lit(sample * SPARE) / F.col("n")  # chance that a reading belongs to a given tree
     # Draws of a tree number that leave a reading in ``share * trees`` different trees on average.
     draws = F.log(1 - F.least(share, F.lit(0.999))) / math.log(1 - 1 / trees)
