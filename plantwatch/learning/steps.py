@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from plantwatch.functions.numbers import finite
 from plantwatch.operators.joins import lookup, null_safe, stored
 
 #: Cells for each standard deviation, and deviations from the mean to which they reach; beyond, one cell on either side.
@@ -36,14 +37,14 @@ MODEL_DDL = f"field string, mean double, deviation double, n bigint, functions a
 
 
 def cell_of(value: Column) -> Column:
-    """The cell of a value, by ``mean`` and ``deviation``: never falls as the value grows."""
+    """The cell of a value, by ``_mean`` and ``_deviation``: never falls as the value grows."""
     reach = float(CELLS_EACH * CELLS_REACH)
-    place = (value - F.col("mean")) / F.col("deviation") * CELLS_EACH
+    place = (value - F.col("_mean")) / F.col("_deviation") * CELLS_EACH
     return F.floor(F.greatest(F.lit(-reach - 1), F.least(F.lit(reach), place))).cast("int")
 
 
 def _cells(models: DataFrame) -> DataFrame:
-    """_key, _cell, steps: array of (name, base, cuts, values, cut) with the cuts of each function that lie in the cell.
+    """_key, _cell, _steps: array of (name, base, cuts, values, cut) with the cuts of each function that lie in the cell.
 
     Every cell of the reach has a row; a cell's ``values`` are those before, between and after its cuts.
     """
@@ -60,10 +61,10 @@ def _cells(models: DataFrame) -> DataFrame:
                     starts, ends = np.searchsorted(own, list(found), "left"), np.searchsorted(own, list(found), "right")
                     for cell, a, b in zip(found, starts.tolist(), ends.tolist()):
                         found[cell].append({"name": f["name"], "cuts": cuts[a:b].tolist(), "values": values[a : b + 1].tolist(), "cut": f["cut"]})
-                yield pd.DataFrame({"_key": key, "_cell": list(found), "steps": list(found.values())})
+                yield pd.DataFrame({"_key": key, "_cell": list(found), "_steps": list(found.values())})
 
     keyed = models.select(null_safe("field").alias("_key"), "mean", "deviation", "functions")
-    return keyed.mapInPandas(cut, f"_key string, _cell int, steps array<{FUNCTION}>")
+    return keyed.mapInPandas(cut, f"_key string, _cell int, _steps array<{FUNCTION}>")
 
 
 def applied(readings: DataFrame, models: DataFrame, value: str = "value_num", results: str = "results") -> DataFrame:
@@ -72,22 +73,22 @@ def applied(readings: DataFrame, models: DataFrame, value: str = "value_num", re
     Null for a field without a model; empty results for a null or NaN value. No shuffle of the readings while the
     cells are few, measured; beyond, they are spread over copies of them. ``readings`` may be a stream.
     """
-    scales = models.select(null_safe("field").alias("_key"), "mean", "deviation")
+    scales = models.select(null_safe("field").alias("_key"), F.col("mean").alias("_mean"), F.col("deviation").alias("_deviation"))
     keyed = readings.withColumn("_key", null_safe("field"))
     placed = lookup(keyed, scales, ["_key"])
     x = F.col(value).cast("double")
-    placed = placed.withColumn("_cell", F.when(x.isNotNull() & ~F.isnan(x), cell_of(x))).drop("mean", "deviation")
+    placed = placed.withColumn("_cell", F.when(x.isNotNull() & ~F.isnan(x), cell_of(x))).drop("_mean", "_deviation")
     cells = _cells(models)
-    cuts = F.lit(1) + F.aggregate("steps", F.lit(0), lambda n, s: n + F.size(s["cuts"]))
+    cuts = F.lit(1) + F.aggregate("_steps", F.lit(0), lambda n, s: n + F.size(s["cuts"]))
     found = lookup(placed, cells, ["_key", "_cell"], at_most=BROADCAST_CUTS, weight=cuts)
 
     def result(step: Column) -> Column:
         return F.get(step["values"], F.size(F.filter(step["cuts"], lambda c: c < x)))
 
     made = F.transform(
-        "steps", lambda s: F.struct(s["name"].alias("name"), result(s).alias("result"), (result(s) >= s["cut"]).cast("int").alias("predicted"))
+        "_steps", lambda s: F.struct(s["name"].alias("name"), result(s).alias("result"), (result(s) >= s["cut"]).cast("int").alias("predicted"))
     )
-    return found.withColumn(results, made).drop("_key", "_cell", "steps")
+    return found.withColumn(results, made).drop("_key", "_cell", "_steps")
 
 
 def judged(readings: DataFrame, models: DataFrame, value: str = "value_num") -> DataFrame:
@@ -105,8 +106,8 @@ def judged(readings: DataFrame, models: DataFrame, value: str = "value_num") ->
 def scales_of(training: DataFrame, value: str = "value_num") -> DataFrame:
     """field, mean, deviation (1 for a constant field), n and cuts at equal shares of the readings, finer at the tails."""
     shares = sorted({i / BINS for i in range(1, BINS)} | set(TAILS))
-    x = F.col(value).cast("double")
-    measured = training.where(x.isNotNull() & ~F.isnan(x)).groupBy("field").agg(
+    x = finite(F.col(value).cast("double"))
+    measured = training.where(x.isNotNull()).groupBy("field").agg(
         F.avg(x).alias("mean"), F.coalesce(F.nullif(F.stddev_pop(x), F.lit(0.0)), F.lit(1.0)).alias("deviation"),
         F.count(x).alias("n"), F.percentile_approx(x, shares, 10_000).alias("cuts"),
     )

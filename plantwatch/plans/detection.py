@@ -74,7 +74,7 @@ SELECT tie, stage, round(value_num - m, 6) AS deviation, round((value_num - m) /
 def normal_baseline_vs_attack(spark, folder):
     long = readings(spark, folder)
     normal = S.baseline(long.where(F.col("field") != "error"), by="stage")
-    attack = lookup(long.where(F.col("field") == "error"), normal, ["stage"], "inner", at_most=6)
+    attack = lookup(long.where(F.col("field") == "error"), normal, ["stage"], "inner")
     z = zscore(F.col("value_num"), F.col("mean"), F.col("std"))
     return attack.select("tie", "stage", F.round(F.col("value_num") - F.col("mean"), 6).alias("deviation"), F.round(z, 5).alias("z"))
 
