@@ -10,8 +10,14 @@ from pyspark.sql import functions as F
 from plantwatch.functions import times as T
 from plantwatch.functions.labels import code_text_or
 from plantwatch.functions.numbers import to_number
+from plantwatch.operators.joins import lookup, stored
 from plantwatch.schema import ATTACK_LABELS, ATTACK_WINDOWS, OTHER_SPELLINGS, RENAMES, UNKNOWN_ATTACK
 
+#: Levels of the tree over time, from a microsecond on, each 16 times as long as the one below.
+LEVELS = 15
+#: Nodes of an interval table that are broadcast at most.
+INTERVAL_NODES = 200_000
+
 # Columns that are never features.
 NOT_FEATURES = [
     "Timestamp", "t_stamp", "Date", "Time", "label", "Attack", "attack_type", "attack_label", "Attack_Type",
@@ -71,64 +77,85 @@ def labelled(rows: DataFrame, time: str, intervals: list[tuple] = ATTACK_WINDOWS
     return rows.withColumn(label, within_any(F.col(time), intervals).cast("int"))
 
 
-def with_interval(
-    rows: DataFrame,
-    intervals: DataFrame,
-    time: str,
-    width_seconds: int = 3600,
-    copies: int = 32,
-    spread_by: list[str] | None = None,
-) -> DataFrame:
-    """Adds ``interval``: the earliest interval (start, end, target) of a table that holds the row, else null.
+def earliest_stretches(intervals: DataFrame, width_seconds: int = 86400) -> DataFrame:
+    """low, high, interval: stretches of microseconds [low, high) that do not overlap, each with the earliest
+    interval (start, end, target) that holds it.
 
-    Made for interval tables of any size. Intervals are cut at bucket edges and reduced
-    to stretches that no earlier interval covers, which do not overlap. Rows and
-    stretches of a bucket are then ordered by time once, and each row looks back at the
-    last stretch begun: no pairs are formed. A crowded bucket is split into ``copies``
-    parts by ``spread_by`` (the time by default), each with all its stretches.
+    In the order of their starts, an interval adds what lies behind the ends of all before it. The
+    latest end so far is carried over slices of ``width_seconds`` of starts, one row a slice.
     """
-    bucket = lambda c: F.floor(T.epoch_seconds(F.col(c)) / width_seconds)
     target = F.col("target") if "target" in intervals.columns else F.lit(None).cast("string")
-    pieces = intervals.where(F.col("start") <= F.col("end")).select(
-        F.struct("start", "end", target.alias("target")).alias("interval"),
-        F.explode(F.sequence(bucket("start"), bucket("end"))).alias("_bucket"),
-    )
-    earlier = Window.partitionBy("_bucket").orderBy("interval").rowsBetween(Window.unboundedPreceding, -1)
-    begin, end, covered = F.col("interval.start"), F.col("interval.end"), F.col("_covered")
-    stretches = (
-        pieces.withColumn("_covered", F.max(end).over(earlier))
-        .where(covered.isNull() | (end > covered))
-        .select(
-            "interval",
-            "_bucket",
-            F.greatest(begin, covered).alias("_at"),
-            F.when(covered >= begin, 2).otherwise(0).alias("_turn"),  # after rows at a shared instant, or before
-            F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_copy"),
-        )
-    )
-    placed = rows.select(
-        F.struct("*").alias("_row"),
-        bucket(time).alias("_bucket"),
-        F.col(time).alias("_at"),
-        F.lit(1).alias("_turn"),
-        F.pmod(F.xxhash64(*(spread_by or [time])), F.lit(copies)).cast("int").alias("_copy"),
+    distinct = intervals.where(F.col("start") <= F.col("end")).groupBy("start", "end").agg(F.min(target).alias("target"))
+    placed = distinct.select(
+        F.struct("start", "end", "target").alias("interval"), T.epoch_micros(F.col("start")).alias("_low"), T.epoch_micros(F.col("end")).alias("_last"),
+        F.floor(T.epoch_seconds(F.col("start")) / width_seconds).alias("_slice"),
     )
-    so_far = Window.partitionBy("_bucket", "_copy").orderBy("_at", "_turn").rowsBetween(Window.unboundedPreceding, 0)
-    begun = (
-        placed.unionByName(stretches, allowMissingColumns=True)
-        .withColumn("interval", F.last("interval", ignorenulls=True).over(so_far))
-        .where(F.col("_turn") == 1)
-    )
-    return begun.select("_row.*", F.when(F.col("_at") <= end, F.col("interval")).alias("interval"))
+    earlier_slices = Window.partitionBy(F.lit(0)).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = placed.groupBy("_slice").agg(F.max("_last").alias("_slice_last")).select("_slice", F.max("_slice_last").over(earlier_slices).alias("_carried"))
+    earlier = Window.partitionBy("_slice").orderBy("interval").rowsBetween(Window.unboundedPreceding, -1)
+    behind = placed.withColumn("_own", F.max("_last").over(earlier)).join(carried, "_slice").withColumn("_covered", F.greatest("_own", "_carried"))
+    stretches = behind.select(F.greatest(F.col("_low"), F.col("_covered") + 1).alias("low"), (F.col("_last") + 1).alias("high"), "interval")
+    return stretches.where("low < high")
+
+
+def interval_nodes(stretches: DataFrame) -> DataFrame:
+    """level, node, interval: the stretches as nodes of a tree over time.
+
+    A node of level l is a stretch of 16^l microseconds that begins at a multiple of it. Each stretch is
+    the fewest nodes that make it up, at most 30 of a level: those of a level that the level
+    above leaves over on either side.
+    """
+
+    def at(level: int) -> Column:
+        size = 4 * level
+        first, last = F.shiftright(F.col("low") + ((1 << size) - 1), size), F.shiftright("high", size)
+        if level == LEVELS - 1:
+            outer = F.when(first < last, F.sequence(first, last - 1))
+        else:
+            inner_first, inner_last = F.shiftright(first + 15, 4), F.shiftright(last, 4)
+            none = F.array().cast("array<bigint>")
+            left = F.when(first < inner_first * 16, F.sequence(first, inner_first * 16 - 1)).otherwise(none)
+            right = F.when(inner_last * 16 < last, F.sequence(inner_last * 16, last - 1)).otherwise(none)
+            outer = F.when(inner_first < inner_last, F.concat(left, right)).when(first < last, F.sequence(first, last - 1))
+        return F.transform(outer, lambda node: F.struct(F.lit(level).alias("level"), node.alias("node")))
+
+    levels = F.flatten(F.filter(F.array(*[at(level) for level in range(LEVELS)]), lambda nodes: nodes.isNotNull()))
+    return stretches.select("interval", F.inline(levels))
 
 
-def labelled_by_table(rows: DataFrame, intervals: DataFrame, time: str, label: str = "Attack", width_seconds: int = 3600) -> DataFrame:
+def with_interval(rows: DataFrame, intervals: DataFrame, time: str, width_seconds: int = 86400, at_most: int = INTERVAL_NODES) -> DataFrame:
+    """Adds ``interval``: the earliest interval (start, end, target) of a table that holds the row, else null.
+
+    Made for interval tables of any size and intervals of any length. The nodes of the intervals do not
+    overlap, so a time lies in one of them at most, and looks up one node for each level there is. Up to
+    ``at_most`` nodes, counted, rows stay where they are, and many rows of one instant, or without a
+    time, are no special case; rows may be a stream. Beyond, the distinct times find their interval by
+    joins on the node, and the rows look it up by their time, spread over copies of it.
+    """
+    nodes = stored(interval_nodes(earliest_stretches(intervals, width_seconds)), "interval-nodes")
+    counts = nodes.groupBy("level").count().collect()  # a row for each level
+    levels = sorted(r["level"] for r in counts)
+    micros = T.epoch_micros(F.col(time))
+    if rows.isStreaming or sum(r["count"] for r in counts) <= at_most:
+        found = rows.withColumn("_micros", micros)
+        for level in levels:
+            own = nodes.where(F.col("level") == level).select(F.col("node").alias("_node"), F.col("interval").alias(f"_at_{level}"))
+            found = found.withColumn("_node", F.shiftright("_micros", 4 * level)).join(F.broadcast(own), "_node", "left").drop("_node")
+        none = F.lit(None).cast(nodes.schema["interval"].dataType)
+        return found.withColumn("interval", F.coalesce(*[F.col(f"_at_{level}") for level in levels], none)).drop("_micros", *[f"_at_{level}" for level in levels])
+    times = rows.where(F.col(time).isNotNull()).select(micros.alias("_micros")).distinct()
+    places = [F.struct(F.lit(level).alias("level"), F.shiftright("_micros", 4 * level).alias("node")) for level in levels]
+    known = times.select("_micros", F.inline(F.array(*places))).join(nodes, ["level", "node"]).select("_micros", "interval")
+    return lookup(rows.withColumn("_micros", micros), known, ["_micros"]).select(*[F.col(f"`{c}`") for c in rows.columns], "interval")
+
+
+def labelled_by_table(rows: DataFrame, intervals: DataFrame, time: str, label: str = "Attack", width_seconds: int = 86400) -> DataFrame:
     """0/1 label by a table of closed intervals; overlapping intervals count once."""
     found = with_interval(rows, intervals, time, width_seconds)
     return found.withColumn(label, F.col("interval").isNotNull().cast("int")).drop("interval")
 
 
-def targets_by_table(rows: DataFrame, intervals: DataFrame, time: str, width_seconds: int = 3600) -> DataFrame:
+def targets_by_table(rows: DataFrame, intervals: DataFrame, time: str, width_seconds: int = 86400) -> DataFrame:
     """Target of the earliest interval of a table that holds the row."""
     found = with_interval(rows, intervals, time, width_seconds)
     return found.withColumn("target", F.col("interval.target")).drop("interval")

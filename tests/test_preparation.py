@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from plantwatch.operators import prepare as P
@@ -135,3 +136,50 @@ def test_a_null_label_is_split_like_a_class(rows):
     frame = rows([(i, None if i % 10 == 0 else i % 2) for i in range(100)], "id bigint, y int")
     counts = {(r["y"], r["held_out"]): r["count"] for r in X.stratified(frame, "id", "y").groupBy("y", "held_out").count().collect()}
     assert counts == {(None, True): 3, (None, False): 7, (0, True): 12, (0, False): 28, (1, True): 15, (1, False): 35}
+
+
+def _random_intervals(draw, base):
+    at = lambda micros: base + dt.timedelta(microseconds=micros)
+    out = []
+    for i in range(80):
+        s = draw.choice([draw.randrange(-10**9, 10**9), draw.randrange(0, 4 * 10**13)])
+        out.append((at(s), at(s + draw.choice([0, 1, 17, 10**6, 3 * 10**9, 2 * 10**13])), f"w{i}"))
+    return out + [(out[0][0], out[0][1], "a tie"), (at(10), at(5), "ends before it starts")]
+
+
+@pytest.mark.parametrize("at_most", [10**6, 0])
+def test_intervals_of_any_length_against_brute_force(rows, at_most):
+    draw = random.Random(8)
+    windows = _random_intervals(draw, dt.datetime(1970, 1, 1))
+    times = [draw.choice(windows)[draw.randrange(2)] + dt.timedelta(microseconds=draw.randrange(-2, 3)) for _ in range(500)]
+    text = lambda t: t.isoformat(sep=" ")
+    wf = rows([(text(s), text(e), w) for s, e, w in windows], "start timestamp_ntz, end timestamp_ntz, target string")
+    pf = rows([(i, text(t)) for i, t in enumerate(times)] + [(-1, None)], "id bigint, t timestamp_ntz")
+    got = {r["id"]: r["interval"] for r in P.with_interval(pf, wf, "t", at_most=at_most).collect()}
+    valid = [w for w in windows if w[0] <= w[1]]
+    assert {i: r and (r["start"], r["end"], r["target"]) for i, r in got.items()} == {
+        **{i: min((w for w in valid if w[0] <= t <= w[1]), default=None) for i, t in enumerate(times)}, -1: None,
+    }
+
+
+def test_nodes_make_up_their_stretches(rows):
+    draw = random.Random(1)
+    windows = _random_intervals(draw, dt.datetime(2020, 1, 1))
+    wf = rows([(s.isoformat(sep=" "), e.isoformat(sep=" "), w) for s, e, w in windows], "start timestamp_ntz, end timestamp_ntz, target string")
+    stretches = P.earliest_stretches(wf).persist()
+    spans = sorted((r["low"], r["high"]) for r in stretches.collect())
+    assert all(a < b for a, b in spans) and all(b <= c for (_, b), (c, _) in zip(spans, spans[1:]))
+    parts = sorted((r["node"] << 4 * r["level"], (r["node"] + 1) << 4 * r["level"]) for r in P.interval_nodes(stretches).collect())
+    assert all(b <= c for (_, b), (c, _) in zip(parts, parts[1:]))
+    assert sum(b - a for a, b in parts) == sum(b - a for a, b in spans)
+
+
+def test_year_long_intervals_are_few_nodes_and_one_instant_moves_no_row(rows, spark):
+    windows = rows([(f"{1970 + i}-03-01 00:00:01", f"{1971 + i}-02-01 12:34:56.789", f"y{i}") for i in range(50)], "start timestamp_ntz, end timestamp_ntz, target string")
+    assert P.interval_nodes(P.earliest_stretches(windows)).count() < 50 * 330
+    crowd = spark.range(20_000).select("id", F.when(F.col("id") % 2 == 0, F.lit("2001-05-05 00:00:00")).cast("timestamp_ntz").alias("t"))
+    found = P.targets_by_table(crowd, windows, "t")
+    assert "hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {(r["target"], r["count"]) for r in found.groupBy("target").count().collect()} == {("y31", 10_000), (None, 10_000)}
+    none = P.labelled_by_table(crowd, windows.limit(0), "t")
+    assert none.where("Attack = 0").count() == 20_000 and none.columns == ["id", "t", "Attack"]
