@@ -111,8 +111,9 @@ def runs(
         F.max_by("_last", "_piece").alias("_slice_last"),
         F.max_by("_first", "_piece").alias("_final_first"),
         F.max("_piece").alias("_pieces"),
-    )
-    over_slices = _by_slice()
+    ).withColumns({"_series": F.col(f"{SLICE}.series"), "_slice_number": F.col(f"{SLICE}.slice")})
+    # by columns, not by fields of the key: windows over one column share a shuffle
+    over_slices = Window.partitionBy("_series").orderBy("_slice_number")
     earlier_last = F.lag("_slice_last").over(over_slices)
     linked = edges.withColumn("_earlier", earlier_last).withColumn(
         "_joins", F.col("_earlier").isNotNull() & ~parted(F.col("_earlier"), F.col("_slice_first"))
