@@ -96,7 +96,7 @@ def by_slab(
             for start, end in cuts(batch):
                 yield pa.RecordBatch.from_pydict(work(batch.slice(start, end - start)), schema)
 
-    return freed(run)
+    return run
 
 
 def cuts(batch: pa.RecordBatch, limit: int = SLAB_BYTES, column: str = "text") -> Iterator[tuple[int, int]]:
