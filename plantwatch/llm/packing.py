@@ -17,17 +17,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plantwatch.llm.common import cuts, freed, in_order, read_table, saved
+from plantwatch.llm.common import cuts, in_order, read_table, saved
 
 CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "byte_bpe_50k.json"
 SLICE_ROWS = 100_000
-#: Bytes of words and their ids that a task keeps, objects included; when full, it starts afresh.
-KEPT_BYTES = 64 << 20
+#: Bytes of words and their ids that a worker keeps, objects included; when full, only those of the last texts stay.
+KEPT_BYTES = 96 << 20
 _OBJECT_BYTES = 200
 #: Bytes of text encoded at once.
-ENCODE_BYTES = 4 << 20
+ENCODE_BYTES = 8 << 20
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _BLACK = re.compile(r" ?\S+(\n\S+)*\Z")
 _SPACE_THEN_BLANK = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
@@ -68,14 +68,14 @@ class WordEncoder:
         return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def words(self, words: list[str]) -> list[bytes]:
-        if self.kept > KEPT_BYTES:
-            self.forget()
         known, before = self.known, len(self.known)
         new = [w for w in dict.fromkeys(words) if w not in known]
-        for word in new:
-            if any(s in word for s in self.special):
-                known[word] = self._ids(word).tobytes()
-        new = [w for w in new if w not in known]
+        together = "".join(new)
+        if any(s in together for s in self.special):  # one search for all words: there is seldom any
+            for word in new:
+                if any(s in word for s in self.special):
+                    known[word] = self._ids(word).tobytes()
+            new = [w for w in new if w not in known]
         # a line end between non-spaces is a token of its own: words are cut there, and joined by it for one call
         parted = {w: parts for w in new if self.line is not None and _BLACK.match(w) and (parts := w.split("\n"))}
         plain = [w for w in dict.fromkeys(p for parts in parted.values() for p in parts) if w not in known]
@@ -91,12 +91,12 @@ class WordEncoder:
             if word not in known:
                 known[word] = line.join([known[p] for p in parted[word]]) if word in parted else self._ids(word).tobytes() if word else b""
         found = [known[w] for w in words]
-        self.kept += sum(len(w) + len(i) + _OBJECT_BYTES for w, i in islice(reversed(known.items()), len(known) - before))
+        self.kept += sum(map(len, islice(reversed(known.values()), len(known) - before))) + (len(known) - before) * _OBJECT_BYTES
+        if self.kept > KEPT_BYTES:
+            self.known = dict(zip(words, found))
+            self.kept = sum(map(len, self.known.values())) + len(self.known) * _OBJECT_BYTES
         return found
 
-    def forget(self) -> None:
-        self.known, self.kept = {}, 0
-
     def one(self, text: str) -> bytes:
         if not self.cut_at_blanks:
             return self._ids(text).tobytes()
@@ -144,12 +144,6 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer)
-        try:
-            yield from cut(encoder, batches)
-        finally:  # the worker lives on, with other tasks
-            encoder.forget()
-
-    def cut(encoder: WordEncoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.asarray([END_ID], "<u4").tobytes()
         for part in (b.slice(i, j - i) for b in batches for i, j in cuts(b, ENCODE_BYTES)):
             rows: list[tuple] = []
@@ -168,7 +162,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
 
     kinds = {"doc_id": "bigint", "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "ids": "array<int>"}
     ids = F.col("doc_id").cast("bigint").alias("doc_id")
-    return docs.select(ids, "text").mapInArrow(freed(run), ", ".join(f"{n} {kinds[n]}" for n in names))
+    return docs.select(ids, "text").mapInArrow(run, ", ".join(f"{n} {kinds[n]}" for n in names))
 
 
 class OpenBins:
