@@ -24,7 +24,7 @@ END_ID = 0
 TOKENIZER = "byte_bpe_50k.json"
 SLICE_ROWS = 100_000
 #: Bytes of words and their ids that a worker keeps, objects included; when full, only those of the last texts stay.
-KEPT_BYTES = 96 << 20
+KEPT_BYTES = 256 << 20
 _OBJECT_BYTES = 200
 #: Bytes of text encoded at once.
 ENCODE_BYTES = 8 << 20
