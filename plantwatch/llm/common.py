@@ -18,6 +18,8 @@ from plantwatch.session import shared_folder
 BROADCAST_ROWS = 200_000
 #: Bytes of text that one numpy pass takes; a longer text is a pass of its own.
 SLAB_BYTES = 1 << 20
+#: Bytes of one batch between an executor and its Python workers; both sides hold it, some stages twice.
+BATCH_BYTES = 4 << 20
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -69,6 +71,14 @@ def counted_before(counts: DataFrame, keys: list[str], slices: list[str]) -> Dat
     return counts.select(*keys, *slices, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
 
 
+def small_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
+    """Batches to Python workers by bytes in this session: by rows alone, ten thousand long texts are one batch.
+
+    Only how rows travel changes, no result. A row larger than ``limit`` is a batch of its own.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(limit))
+
+
 def freed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """The task's function, after which its worker hands unused memory back; workers live on between tasks,
     beside an executor's heap, and would each keep the most they ever held."""

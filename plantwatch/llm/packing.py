@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plantwatch.llm.common import cuts, in_order, read_table, saved
+from plantwatch.llm.common import cuts, freed, in_order, read_table, saved
 
 CAPACITY = 2048
 END_ID = 0
@@ -47,7 +47,8 @@ class WordEncoder:
     hold or take in space, whole texts are.
     """
 
-    def __init__(self, path: str | None):
+    def __init__(self, path: str | None, kept_bytes: int | None = None):
+        self.kept_bytes = kept_bytes
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -92,7 +93,7 @@ class WordEncoder:
                 known[word] = line.join([known[p] for p in parted[word]]) if word in parted else self._ids(word).tobytes() if word else b""
         found = [known[w] for w in words]
         self.kept += sum(map(len, islice(reversed(known.values()), len(known) - before))) + (len(known) - before) * _OBJECT_BYTES
-        if self.kept > KEPT_BYTES:
+        if self.kept > (self.kept_bytes or KEPT_BYTES):
             self.known = dict(zip(words, found))
             self.kept = sum(map(len, self.known.values())) + len(self.known) * _OBJECT_BYTES
         return found
@@ -129,21 +130,23 @@ class WordEncoder:
 
 
 @functools.cache
-def word_encoder(path: str | None) -> WordEncoder:
-    return WordEncoder(path)
+def word_encoder(path: str | None, kept_bytes: int | None = None) -> WordEncoder:
+    return WordEncoder(path, kept_bytes)
 
 
-def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, with_ids: bool = False,
+           kept_bytes: int | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 and, if asked for, ids of each document's pieces.
 
     A document is its token ids and one end id. One longer than ``capacity`` is cut into pieces of
-    ``capacity`` ids of which the first may be shorter.
+    ``capacity`` ids of which the first may be shorter. ``kept_bytes`` bounds what a worker keeps of
+    words between texts (``KEPT_BYTES``, if not given); ids do not depend on it.
     """
     names = _PIECES.names if with_ids else _PIECES.names[:-1]
     schema = pa.schema([_PIECES.field(n) for n in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(tokenizer)
+        encoder = word_encoder(tokenizer, kept_bytes)
         end = np.asarray([END_ID], "<u4").tobytes()
         for part in (b.slice(i, j - i) for b in batches for i, j in cuts(b, ENCODE_BYTES)):
             rows: list[tuple] = []
@@ -162,7 +165,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
 
     kinds = {"doc_id": "bigint", "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "ids": "array<int>"}
     ids = F.col("doc_id").cast("bigint").alias("doc_id")
-    return docs.select(ids, "text").mapInArrow(run, ", ".join(f"{n} {kinds[n]}" for n in names))
+    return docs.select(ids, "text").mapInArrow(freed(run), ", ".join(f"{n} {kinds[n]}" for n in names))
 
 
 class OpenBins:
@@ -237,7 +240,7 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, with_ids: bool = False,
-         slice_rows: int = SLICE_ROWS) -> DataFrame:
+         slice_rows: int = SLICE_ROWS, kept_bytes: int | None = None) -> DataFrame:
     """Pieces of all documents with the sequence each is in and its offset there.
 
     Every piece takes the tightest open sequence, longest pieces first, over the whole table. The
@@ -248,7 +251,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     Null or empty text: the end id alone. Null doc_id: kept. Repeated rows: each is packed. Empty
     table: empty. Other columns are ignored.
     """
-    cut = saved(pieces(docs, tokenizer, capacity, with_ids), "pieces")
+    cut = saved(pieces(docs, tokenizer, capacity, with_ids, kept_bytes), "pieces")
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     digits = max(0, math.ceil(math.log(max([1, *counts.values()]) / slice_rows, 16)))
     slice_of = F.substring(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "piece")), 1, digits)
