@@ -10,18 +10,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from plantwatch.llm import jaccard, languages, mixture, packing, secret_scan
-from plantwatch.llm.common import read_table, saved
+from plantwatch.llm.common import read_table, saved, small_batches
+
+#: Bytes of words that a worker keeps in the last stage, where others of its executor still hold their memory.
+KEPT_BYTES = 32 << 20
 
 
 def keep_recognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return languages.accepted(docs)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return jaccard.one_per_group(docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return secret_scan.redacted(docs)
 
 
@@ -30,7 +36,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs)
+    small_batches(spark)
+    return packing.pack(docs, kept_bytes=KEPT_BYTES)
 
 
 STAGES = [
