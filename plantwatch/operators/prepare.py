@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from plantwatch.functions import times as T
 from plantwatch.functions.labels import code_text_or
 from plantwatch.functions.numbers import to_number
-from plantwatch.operators.joins import lookup, stored
+from plantwatch.operators.joins import lookup, lookup_by, stored
 from plantwatch.schema import ATTACK_LABELS, ATTACK_WINDOWS, OTHER_SPELLINGS, RENAMES, UNKNOWN_ATTACK
 
 #: Levels of the tree over time, from a microsecond on, each 16 times as long as the one below.
@@ -213,9 +213,19 @@ def class_distribution(rows: DataFrame, label: str) -> DataFrame:
 
 
 def label_codes(rows: DataFrame, label: str) -> DataFrame:
-    """Sorted classes numbered from 0. Distinct classes are few and form one small array."""
-    classes = rows.agg(F.sort_array(F.collect_set(label)).alias("c")).scalar()
-    return rows.withColumn(f"{label}_code", (F.array_position(classes, F.col(label)) - 1).cast("int"))
+    """Sorted classes numbered from 0, however many there are; a null class has no code.
+
+    Distinct classes are stored in sorted slices, which are counted; a class's code is the number of
+    classes in earlier slices and its place in its own. The codes are looked up by their measured size.
+    """
+    classes = rows.where(F.col(label).isNotNull()).select(label).distinct().repartitionByRange(label)
+    classes = stored(classes.withColumn("_slice", F.spark_partition_id()), "classes")
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # one row per slice
+    sizes = classes.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_slice").orderBy(label))
+    coded = classes.join(F.broadcast(before), "_slice").withColumn(f"{label}_code", (F.col("_before") + place - 1).cast("int"))
+    return lookup_by(rows.drop(f"{label}_code"), coded.select(label, f"{label}_code"), label)
 
 
 def class_weights(rows: DataFrame, label: str) -> DataFrame:
