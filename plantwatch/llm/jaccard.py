@@ -16,6 +16,8 @@ the region's centre is its pivot; the documents inside its radius are compared w
 those that link form one component, inside which nothing more needs comparing. What is left of the
 regions, with large ones split again into cells, is joined exactly across components. Before two
 texts are read, finer coordinates of the same kind (parities of shingle counts) must allow the pair.
+Near copies share very many pivots: regions with the same members are one region from level two on.
+In a region this recurses: what is outside the ball of one pivot gets a pivot of its own, and so on.
 """
 
 from __future__ import annotations
@@ -26,10 +28,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantwatch.llm.common import SLAB_BYTES, cuts, freed, joined_bytes, mixed, read_table, saved, small_or_plain, text_key
+from plantwatch.llm.common import SLAB_BYTES, cuts, freed, joined_bytes, mixed, read_table, saved, set_aside, small_or_plain, text_key
 from plantwatch.llm.components import components
 
 SHINGLE = 5
@@ -43,7 +45,7 @@ BUCKETS = 64
 BITS_EACH = 2
 #: Postings after which a task passes on what it has gathered.
 FLUSH = 1_000_000
-#: Documents of a region (or compared with one pivot) that one task joins.
+#: Documents of a region (or compared with one pivot) that one task joins; regions up to so many travel as one row.
 CELL_ROWS = 4096
 PIVOTS_TRIED = 2
 #: In a region, sets of up to FOLDED_SIZE shingles are compared by sketches folded to so many bits too.
@@ -143,16 +145,26 @@ def _among(common: np.ndarray, shingles: np.ndarray) -> np.ndarray:
     return common[np.minimum(np.searchsorted(common, halves), len(common) - 1)] == halves
 
 
-_SENT = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("raw", pa.binary()), ("doc_id", pa.int64()), ("class", pa.int64()), ("n", pa.int32())])
-_SENT_DDL = "bucket int, kind tinyint, raw binary, doc_id bigint, class bigint, n int"
+_SENT = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("raw", pa.binary()), ("doc_id", pa.int64()), ("class", pa.int64()), ("n", pa.int32()), ("key", pa.int64())])
+_SENT_DDL = "bucket int, kind tinyint, raw binary, doc_id bigint, class bigint, n int, key bigint"
+_MET_DDL = _SENT_DDL.replace("bucket int, ", "") + ", members array<bigint>"
 
 
-def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
+def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list[np.ndarray]]]:
     for batch in batches:
         for i, j in cuts(batch):
             part = batch.slice(i, j - i)
             texts = pc.fill_null(part.column("text").cast(pa.binary()), b"").to_pylist()
-            yield part.column("doc_id").to_pylist(), shingle_sets(texts)
+            yield part.column("doc_id").to_pylist(), part.column("key").to_pylist(), shingle_sets(texts)
+
+
+def _own_id(doc_id: str = "doc_id", key: str = "key") -> Column:
+    """Names a row by its doc_id, null or not, and its text: rows without an id, or with one id, stay apart."""
+    return F.concat_ws(":", text_key(doc_id), F.col(key))
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def _common_shingles(rows: DataFrame, buckets: int, least: int, most: int) -> np.ndarray:
@@ -176,7 +188,7 @@ def _common_shingles(rows: DataFrame, buckets: int, least: int, most: int) -> np
                 raws.append(np.concatenate([head, shingles[one], shingles[many], counts[many].astype(np.uint32)]).tobytes())
             return pa.RecordBatch.from_pydict({"bucket": np.arange(buckets, dtype=np.int32), "raw": raws})
 
-        for _, sets in _sets_of(batches):
+        for _, _, sets in _sets_of(batches):
             distinct = list({s.tobytes(): s for s in sets}.values())
             held.append(upper(windows(distinct, np.zeros(0, np.uint32))[1]))
             size += len(held[-1])
@@ -210,8 +222,8 @@ def _common_shingles(rows: DataFrame, buckets: int, least: int, most: int) -> np
 
 
 def _regions(rows: DataFrame, buckets: int, common: np.ndarray) -> DataFrame:
-    """kind 0: doc_id, class, n, raw (coordinates) of each document; kind 1: doc_id (a shingle) and class of
-    each posting in a region of two classes at least.
+    """kind 0: doc_id, key, class, n, raw (coordinates) of each document; kind 1: doc_id (a shingle) and class of
+    each posting in a large region; kind 2: doc_id (a shingle) and members of each other region of two classes at least.
 
     Postings travel as arrays, one row for each bucket of shingles; those of common shingles, whose
     regions are large, are not gathered but passed on one by one.
@@ -235,14 +247,14 @@ def _regions(rows: DataFrame, buckets: int, common: np.ndarray) -> DataFrame:
                 head = np.array([len(own)], np.int64)
                 raws.append(np.concatenate([head, own, np.bincount(back, minlength=len(own)), shingles[order[a:b]][regroup].view(np.int64)]).tobytes())
             none = [None] * buckets
-            return _sent(np.arange(buckets, dtype=np.int32), np.full(buckets, 2), raws, none, none, none)
+            return _sent(np.arange(buckets, dtype=np.int32), np.full(buckets, 2), raws, none, none, none, none)
 
-        for ids, sets in _sets_of(batches):
+        for ids, keys, sets in _sets_of(batches):
             classes = np.array([class_of(s) for s in sets], np.int64)
             sizes = [len(s) for s in sets]
             marks = [coordinates(x) for x in sets]
             place = ((classes >> 8) % buckets).astype(np.int32)
-            yield _sent(place, np.zeros(len(ids)), marks, ids, classes, sizes)
+            yield _sent(place, np.zeros(len(ids)), marks, ids, classes, sizes, keys)
             alone = np.unique(classes, return_index=True)[1]
             of, shingles = windows([sets[i] for i in alone], hot)
             own = classes[alone][of]
@@ -250,7 +262,7 @@ def _regions(rows: DataFrame, buckets: int, common: np.ndarray) -> DataFrame:
                 big = _among(hot, shingles)
                 if big.any():
                     k = int(big.sum())
-                    yield _sent(((own[big] >> 8) % buckets).astype(np.int32), np.ones(k), [None] * k, shingles[big].view(np.int64), own[big], [None] * k)
+                    yield _sent(((own[big] >> 8) % buckets).astype(np.int32), np.ones(k), [None] * k, shingles[big].view(np.int64), own[big], [None] * k, [None] * k)
                     shingles, own = shingles[~big], own[~big]
             held.append((shingles, own))
             size += len(own)
@@ -264,7 +276,7 @@ def _regions(rows: DataFrame, buckets: int, common: np.ndarray) -> DataFrame:
         shingles, classes = [], []
         for batch in batches:
             gathered = pc.equal(batch.column("kind"), 2)
-            yield batch.filter(pc.invert(gathered)).drop_columns(["bucket"])
+            yield _met(batch.filter(pc.invert(gathered)))
             for raw in batch.column("raw").filter(gathered).to_pylist():
                 row = np.frombuffer(raw, np.int64)
                 k = int(row[0])
@@ -278,15 +290,37 @@ def _regions(rows: DataFrame, buckets: int, common: np.ndarray) -> DataFrame:
             every, own = every[new], own[new]
             first = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
             counts = np.diff(np.append(first, len(every)))
-            kept = np.repeat(counts > 1, counts)
-            every, own = every[kept], own[kept]
-            for i in range(0, len(every), 100_000):
-                k = len(every[i : i + 100_000])
-                out = _sent(np.zeros(k), np.ones(k), [None] * k, every[i : i + 100_000], own[i : i + 100_000], [None] * k)
-                yield out.drop_columns(["bucket"])
+            large = np.repeat(counts > CELL_ROWS, counts)
+            for i in range(0, int(large.sum()), 100_000):
+                part = every[large][i : i + 100_000]
+                k = len(part)
+                yield _met(_sent(np.zeros(k), np.ones(k), [None] * k, part, own[large][i : i + 100_000], [None] * k, [None] * k))
+            shared = (counts > 1) & (counts <= CELL_ROWS)
+            first, counts = first[shared], counts[shared]
+            for i, j in _ranges(counts, 100_000):
+                k = j - i
+                members = pa.ListArray.from_arrays(np.append(0, np.cumsum(counts[i:j])).astype(np.int32), _stretches(own, first[i:j], counts[i:j]))
+                yield _met(_sent(np.zeros(k), np.full(k, 2), [None] * k, every[first[i:j]], [None] * k, [None] * k, [None] * k), members)
 
     sent = rows.mapInArrow(freed(send), _SENT_DDL).repartition("bucket")
-    return saved(sent.mapInArrow(freed(meet), _SENT_DDL.replace("bucket int, ", "")), "regions")
+    return saved(sent.mapInArrow(freed(meet), _MET_DDL), "regions")
+
+
+def _met(batch: pa.RecordBatch, members: pa.Array | None = None) -> pa.RecordBatch:
+    without = batch.drop_columns(["bucket"])
+    return without.append_column("members", pa.nulls(len(batch), pa.list_(pa.int64())) if members is None else members)
+
+
+def _ranges(counts: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of regions that hold about ``limit`` members together."""
+    piece = np.cumsum(counts) // limit
+    edges = np.flatnonzero(np.append(True, piece[1:] != piece[:-1])) if len(counts) else np.zeros(0, np.int64)
+    yield from zip(edges.tolist(), np.append(edges[1:], len(counts)).tolist())
+
+
+def _stretches(values: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """values[first[i] : first[i] + counts[i]] for each i, end to end."""
+    return values[np.arange(int(counts.sum())) + np.repeat(first - (np.cumsum(counts) - counts), counts)]
 
 
 def _sent(*columns) -> pa.RecordBatch:
@@ -323,19 +357,36 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, np.nda
 
 
 def _pivot_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In each region, the documents that may link with the one nearest to its centre."""
+    """In each region, the documents that may link with the one nearest to its centre, its pivot.
+
+    What the pivot's ball leaves has a pivot of its own, and so on while balls hold one document
+    besides their pivot on average; then the region has no more dense groups to find.
+    """
     for cell, first in _cells(batches):
-        counts = np.diff(np.append(first, len(cell["n"])))
-        region = np.repeat(np.arange(len(first)), counts)
         n, raw = cell["n"].astype(np.int64), cell["raw"]
         shape = raw.astype(np.float32) / n[:, None].astype(np.float32)
-        centre = np.add.reduceat(shape, first, axis=0) / counts[:, None]
-        off = np.abs(shape - centre[region]).sum(1)
-        pivot = np.lexsort((cell["class"], off, region))[first][region]
-        fits = (pivot != np.arange(len(n))) & (4 * n >= 3 * n[pivot]) & (4 * n[pivot] >= 3 * n)
-        rows = np.flatnonzero(fits)
-        rows = rows[7 * np.abs(raw[rows].astype(np.int16) - raw[pivot[rows]]).sum(1) <= n[rows] + n[pivot[rows]]]
-        pairs = np.unique(np.stack([cell["class"][rows], cell["class"][pivot[rows]]]), axis=1)
+        region = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(n))))
+        left, caught, rounds = np.arange(len(n)), np.zeros(len(first), np.int64), 0
+        found = [np.zeros((2, 0), np.int64)]
+        while len(left):
+            own = region[left]
+            start = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+            counts = np.diff(np.append(start, len(own)))
+            centre = np.add.reduceat(shape[left], start, axis=0) / counts[:, None]
+            off = np.abs(shape[left] - np.repeat(centre, counts, axis=0)).sum(1)
+            pivot = np.repeat(left[np.lexsort((cell["class"][left], off, own))[start]], counts)
+            fits = (pivot != left) & (4 * n[left] >= 3 * n[pivot]) & (4 * n[pivot] >= 3 * n[left])
+            rows = np.flatnonzero(fits)
+            near = 7 * np.abs(raw[left[rows]].astype(np.int16) - raw[pivot[rows]]).sum(1) <= n[left[rows]] + n[pivot[rows]]
+            rows = rows[near]
+            found.append(np.stack([cell["class"][left[rows]], cell["class"][pivot[rows]]]))
+            caught += np.bincount(own[rows], minlength=len(first))
+            rounds += 1
+            outside = pivot != left
+            outside[rows] = False
+            outside &= (caught >= rounds)[own]
+            left = left[outside]
+        pairs = np.unique(np.concatenate(found, 1), axis=1)
         yield pa.RecordBatch.from_pydict({"a": pairs[0], "b": pairs[1]})
 
 
@@ -421,7 +472,7 @@ def _linked(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
         dealt.select("b", "slice").distinct().select(F.lit(None).cast("long").alias("a"), "b", "slice", F.lit(0).alias("role"), F.col("b").alias("class"))
     )
     wanted = roles.select("class").distinct().join(classes.select("class", "_id"), "class")
-    texts = rows.withColumn("_id", text_key("doc_id")).join(small_or_plain(saved(wanted, "wanted")), "_id").select("class", "text")
+    texts = rows.withColumn("_id", _own_id()).join(small_or_plain(saved(wanted, "wanted")), "_id").select("class", "text")
     meeting = roles.join(texts, "class").select("b", "slice", "role", "class", "text").repartition("b", "slice").sortWithinPartitions("b", "slice", "role")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -434,7 +485,7 @@ def _linked(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
                 meta = zip(part.column("b").to_pylist(), part.column("slice").to_pylist(), part.column("role").to_pylist(), part.column("class").to_pylist())
                 for (b, piece, role, own), shingles in zip(meta, shingle_sets(texts)):
                     if class_of(shingles) != own:
-                        continue  # another text under the same doc_id
+                        continue  # another text with the same doc_id and hash
                     if role == 0:
                         key, base = (b, piece), shingles
                     elif key == (b, piece):
@@ -458,18 +509,25 @@ def near_groups(docs: DataFrame, common: int = COMMON, common_kept: int = COMMON
     group but never its name; a group of such rows only has a null name. Repeated rows: each is
     returned. Empty table: empty. Other columns are ignored.
     """
+    return _named(docs, common, common_kept, cell_rows).select("doc_id", "n_shingles", "component_id")
+
+
+def _named(docs: DataFrame, common: int = COMMON, common_kept: int = COMMON_KEPT, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """``near_groups`` with the hash of each row's text as ``key``."""
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_hash().alias("key"))
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = _regions(rows, buckets, _common_shingles(rows, buckets, common, common_kept))
-    members = found.where("kind = 0").select("doc_id", "class", "n", "raw")
+    members = found.where("kind = 0").select("doc_id", "key", "class", "n", "raw")
     classes = saved(
-        members.where("n > 0").groupBy("class").agg(F.min(F.struct("doc_id", "n", "raw")).alias("_r"))
-        .select("class", text_key(F.col("_r.doc_id")).alias("_id"), F.col("_r.n").alias("n"), F.expr(f"substring(_r.raw, 1, {BUCKETS})").alias("raw"),
+        members.where("n > 0").groupBy("class").agg(F.min(F.struct("doc_id", "key", "n", "raw")).alias("_r"))
+        .select("class", _own_id("_r.doc_id", "_r.key").alias("_id"), F.col("_r.n").alias("n"), F.expr(f"substring(_r.raw, 1, {BUCKETS})").alias("raw"),
                 F.expr(f"substring(_r.raw, {BUCKETS + 1}, {FOLDED_BITS // 8})").alias("odd"),
                 F.expr(f"substring(_r.raw, {BUCKETS + FOLDED_BITS // 8 + 1}, octet_length(_r.raw))").alias("bits")), "classes"
     )
-    postings = found.where("kind = 1").select(F.col("doc_id").alias("shingle"), "class")
+    regions = found.where("kind = 2").groupBy("members").agg(F.min("doc_id").alias("shingle"))
+    large = found.where("kind = 1").select(F.col("doc_id").alias("shingle"), "class")
+    postings = saved(large.unionByName(regions.select("shingle", F.explode("members").alias("class"))), "postings")
     sizes = postings.groupBy("shingle").agg(F.ceil(F.count(F.lit(1)) / F.lit(cell_rows)).cast("int").alias("parts"))
     split = small_or_plain(saved(sizes.where("parts > 1"), "split"))
     placed = (
@@ -497,17 +555,19 @@ def near_groups(docs: DataFrame, common: int = COMMON, common_kept: int = COMMON
     names = per_class.groupBy("component").agg(F.min("_least").alias("component_id"))
     by_class = per_class.join(names, "component").select("class", "component_id")
     return (
-        members.select("doc_id", "class", F.col("n").cast("long").alias("n_shingles")).join(by_class, "class", "left")
-        .select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        members.select("doc_id", "key", "class", F.col("n").cast("long").alias("n_shingles")).join(by_class, "class", "left")
+        .select("doc_id", "key", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     )
 
 
 def one_per_group(docs: DataFrame) -> DataFrame:
     """The rows of docs that name their group; of several with one doc_id and text, one. Rows without
     doc_id stay unless their group has a row with one; of equal ones, one."""
-    kept = saved(near_groups(docs).where("doc_id <=> component_id").select(text_key("doc_id").alias("_id")), "kept")
+    kept = saved(_named(docs).where("doc_id <=> component_id").select(_own_id().alias("_id")), "kept")
     once = kept.distinct()
-    stay = docs.withColumn("_id", text_key("doc_id")).join(small_or_plain(saved(once, "kept")), "_id", "left_semi").drop("_id")
+    inner, back = set_aside(docs, ["doc_id", "text"])
+    named = inner.withColumn("_own", F.concat_ws(":", text_key(F.col("doc_id").cast("long")), _text_hash()))
+    stay = back(named.join(small_or_plain(saved(once.withColumnRenamed("_id", "_own"), "kept")), "_own", "left_semi"))
     return stay if kept.count() == once.count() else stay.dropDuplicates(["doc_id", "text"])
 
 

@@ -293,6 +293,40 @@ def test_jaccard_in_dense_groups(spark, empty):
     assert jaccard.near_groups(empty).count() == 0 and jaccard.one_per_group(empty).count() == 0
 
 
+def test_jaccard_with_many_null_ids_and_repeated_regions(spark):
+    rng = random.Random(9)
+    rows = []
+    for g in range(6):
+        base = [f"w{g}x{i}" for i in range(60)]
+        for i in range(25):
+            words = list(base)
+            for _ in range(rng.randint(0, 3)):
+                words[rng.randrange(60)] = f"r{rng.random()}"
+            rows.append((None if g < 3 or i % 2 else g * 100 + i, " ".join(words)))
+    rows += [(7, rows[0][1]), (7, "one id and another text of its own")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    for common, cell_rows in ((100, 4096), (0, 7)):
+        assert Counter(map(tuple, jaccard.near_groups(table, common=common, cell_rows=cell_rows).collect())) == _brute_groups(rows)
+
+
+def test_one_of_a_group_stays_whatever_ids_are_null(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    rows = [(None, a, 1), (None, b, 2), (1, a, 3), (5, a + " more", 4), (5, b + " else more than that", 5), (5, "wholly different words stand in this row", 6)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, _id int")
+    assert sorted(r["_id"] for r in jaccard.one_per_group(table).collect()) == [3, 5, 6]
+
+
+def test_regions_go_on_to_new_pivots():
+    n = 40
+    raw = np.zeros((n, jaccard.BUCKETS), np.uint8)
+    for i in range(n):
+        raw[i, (i % 4) * 16 : (i % 4) * 16 + 16] = 5
+    cell = {"class": np.arange(n), "n": np.full(n, 80), "raw": [r.tobytes() for r in raw]}
+    batch = jaccard.pa.RecordBatch.from_pydict({"shingle": np.zeros(n, np.int64), "i": np.zeros(n, np.int32), "j": np.zeros(n, np.int32), **cell})
+    pairs = [p for out in jaccard._pivot_pairs(iter([batch])) for p in zip(out["a"].to_pylist(), out["b"].to_pylist())]
+    assert len(pairs) == n - 4 and all(a % 4 == b % 4 for a, b in pairs)
+
+
 def test_components_of_paths_and_stars(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
