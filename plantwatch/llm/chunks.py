@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from plantwatch.llm.common import cuts, joined_bytes, mixed, read_table
+from plantwatch.llm.common import cuts, joined_bytes, mixed, read_table, set_aside, text_key
 
 #: A chunk ends where these bits of the rolling hash are zero: one byte in 32.
 CUT_BITS = np.uint16(0b11111 << 11)
@@ -90,6 +92,11 @@ def repeated_passages(docs: DataFrame, least: int = LEAST_RUN) -> DataFrame:
     doc_ids, one of them null or not, are different documents. Repeated rows of one doc_id and text
     count as one document. Empty table: empty. Other columns are ignored.
     """
+    return _passages(docs, least).drop("text_key")
+
+
+def _passages(docs: DataFrame, least: int) -> DataFrame:
+    """``repeated_passages`` with the text_key of the text that each stretch is in."""
     found = chunks(docs)
     several = "min(doc_id) != max(doc_id) or count(doc_id) between 1 and count(*) - 1"
     counted = (
@@ -118,7 +125,7 @@ def repeated_passages(docs: DataFrame, least: int = LEAST_RUN) -> DataFrame:
         .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_chunks").alias("n_chunks"),
              F.min(F.when(F.col("_mine") | ~F.col("kept"), F.col("_first"))).alias("first_doc_id"))
         .where(chars >= least)
-        .select("doc_id", F.col("start").cast("long"), F.col("end").cast("long"), "n_chunks", "first_doc_id", "kept")
+        .select("doc_id", "text_key", F.col("start").cast("long"), F.col("end").cast("long"), "n_chunks", "first_doc_id", "kept")
     )
 
 
@@ -129,9 +136,16 @@ def _stretch(own: Window, state: str) -> Column:
 
 
 def without_repeats(docs: DataFrame, least: int = LEAST_RUN) -> DataFrame:
-    """The rows of docs, each repeated stretch cut from all documents but the first that has it."""
+    """The rows of docs, each repeated stretch cut from all documents but the first that has it.
+
+    A document is a doc_id and its text, so another text under the same doc_id is cut by its own
+    stretches only. Null doc_id: not cut. Null or empty text:
+    as it is. Repeated rows: each is returned, cut alike. Empty table: empty. Other columns, whatever
+    their names, come back as they are.
+    """
+    inner, back = set_aside(docs, ["doc_id", "text"])
     cut = (
-        repeated_passages(docs, least).where("not kept and doc_id is not null").groupBy("doc_id")
+        _passages(docs, least).where("not kept and doc_id is not null").groupBy(text_key("doc_id").alias("_own"), F.col("text_key").alias("_key"))
         .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cuts"))
     )
     parts = F.expr(
@@ -139,7 +153,16 @@ def without_repeats(docs: DataFrame, least: int = LEAST_RUN) -> DataFrame:
         "concat(acc.t, substring(text, int(acc.at + 1), int(c.start - acc.at))), 'at', c.end), acc -> acc.t), "
         "substring(text, int(array_max(_cuts).end + 1), char_length(text)))"
     )
-    return docs.join(cut, "doc_id", "left").withColumn("text", F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(parts)).select(*docs.columns)
+    keyed = inner.withColumns({"_own": text_key(F.col("doc_id").cast("bigint")), "_key": text_digests("text")})
+    whole = keyed.join(cut, ["_own", "_key"], "left")
+    return back(whole.withColumn("text", F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(parts)))
+
+
+@F.pandas_udf(LongType())
+def text_digests(texts: pd.Series) -> pd.Series:
+    """The text_key of each text, as ``chunks`` gives it."""
+    keys = [xxhash.xxh3_64_intdigest(t.encode()) if t is not None else xxhash.xxh3_64_intdigest(b"") for t in texts]
+    return pd.Series(np.array(keys, np.uint64).view(np.int64))
 
 
 def op6_substrings(spark, folder: str) -> DataFrame:

@@ -187,6 +187,18 @@ def _prose(rng, n):
     return " ".join("".join(rng.choice("abcdeéfghij") for _ in range(rng.randint(2, 9))) for _ in range(n))
 
 
+def test_texts_under_one_doc_id_are_cut_by_their_own_stretches(spark):
+    rng = random.Random(3)
+    text = lambda n: " ".join(f"{rng.random():.9f}" for _ in range(n))
+    p, q, x = text(80), text(80), text(40)
+    rows = [(3, p, 1), (5, x + " " + p, 2), (5, q, 3), (None, p, 4), (9, None, 5), (9, "", 6), (5, q, 7)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, _cuts int")
+    got = {r["_cuts"]: r["text"] for r in chunks.without_repeats(table).collect()}
+    assert len(got) == 7 and got[1] == p and got[3] == q and got[7] == q and got[5] is None and got[6] == ""
+    assert got[2].startswith(x) and len(got[2]) < len(x) + 100 and got[4] == p
+    assert chunks.without_repeats(table.limit(0)).columns == table.columns and chunks.without_repeats(table.limit(0)).count() == 0
+
+
 def test_exact_copies_under_several_doc_ids_are_repeats(spark):
     rng = random.Random(15)
     group, pair, lone, twice = (_prose(rng, 60) for _ in range(4))
