@@ -5,6 +5,8 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -21,19 +23,39 @@ SLAB_BYTES = 1 << 20
 #: Bytes of one batch between an executor and its Python workers; both sides hold it, some stages twice.
 BATCH_BYTES = 4 << 20
 
+#: Folders that ``saved`` wrote inside the ``scratch`` that is open, if one is.
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def saved(frame: DataFrame, purpose: str) -> DataFrame:
+def saved(frame: DataFrame, purpose: str, stays: bool = False) -> DataFrame:
     """The frame written to the shared checkpoint folder and read back: cuts the lineage,
-    survives lost executors and is computed once however often it is used."""
+    survives lost executors and is computed once however often it is used. Inside ``scratch``
+    it goes at the end of that, unless it ``stays``."""
     path = shared_folder(frame.sparkSession, purpose)
+    if not stays and _WRITTEN.get() is not None:
+        _WRITTEN.get().append(path)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what ``saved`` wrote inside it. No frame that still reads such a table may leave it."""
+    written: list[str] = []
+    token = _WRITTEN.set(written)
+    try:
+        yield
+    finally:
+        _WRITTEN.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        for folder in map(path, written):
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def small_or_plain(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """The (saved) frame marked for broadcast if its counted rows are at most ``rows``."""
     return F.broadcast(frame) if frame.limit(rows + 1).count() <= rows else frame

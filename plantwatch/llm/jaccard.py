@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantwatch.llm.common import SLAB_BYTES, cuts, freed, joined_bytes, mixed, read_table, saved, set_aside, small_or_plain, text_key
+from plantwatch.llm.common import BROADCAST_ROWS, SLAB_BYTES, cuts, freed, joined_bytes, mixed, read_table, saved, scratch, set_aside, small_or_plain, text_key
 from plantwatch.llm.components import components
 
 SHINGLE = 5
@@ -560,15 +560,29 @@ def _named(docs: DataFrame, common: int = COMMON, common_kept: int = COMMON_KEPT
     )
 
 
-def one_per_group(docs: DataFrame) -> DataFrame:
+def one_per_group(docs: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """The rows of docs that name their group; of several with one doc_id and text, one. Rows without
-    doc_id stay unless their group has a row with one; of equal ones, one."""
-    kept = saved(_named(docs).where("doc_id <=> component_id").select(_own_id().alias("_id")), "kept")
-    once = kept.distinct()
+    doc_id stay unless their group has a row with one; of equal ones, one.
+
+    Texts are not shuffled to be kept: only rows that go or repeat are looked up, and those that share one
+    of their 64 * ``rows`` marks, which are broadcast. Up to ``rows`` looked-up keys are broadcast as well;
+    beyond, the texts of these rows alone meet them in a shuffle.
+    """
+    with scratch(docs.sparkSession):
+        verdict = _named(docs).select(_own_id().alias("_own"), F.expr("doc_id <=> component_id").alias("_stays"))
+        per_key = verdict.groupBy("_own").agg(F.max("_stays").alias("_stays"), F.min("_stays").alias("_all"), F.count(F.lit(1)).alias("_rows"))
+        asked = saved(per_key.where("not _all or _rows > 1").select("_own", "_stays", "_rows"), "asked", stays=True)
+    mark = F.pmod(F.xxhash64("_own"), F.lit(64 * rows))
+    word, bit = F.expr("_mark div 64").alias("_word"), F.expr("shiftleft(1L, cast(_mark % 64 as int))")
+    marks = saved(asked.select(mark.alias("_mark")).groupBy(word).agg(F.bit_or(bit).alias("_bits")), "marks")
     inner, back = set_aside(docs, ["doc_id", "text"])
-    named = inner.withColumn("_own", F.concat_ws(":", text_key(F.col("doc_id").cast("long")), _text_hash()))
-    stay = back(named.join(small_or_plain(saved(once.withColumnRenamed("_id", "_own"), "kept")), "_own", "left_semi"))
-    return stay if kept.count() == once.count() else stay.dropDuplicates(["doc_id", "text"])
+    named = inner.withColumn("_own", F.concat_ws(":", text_key(F.col("doc_id").cast("long")), _text_hash())).withColumn("_mark", mark)
+    marked = named.join(F.broadcast(marks), F.expr("_mark div 64") == F.col("_word"), "left")
+    seen = F.coalesce(F.col("_bits").bitwiseAND(bit), F.lit(0)) != 0
+    found = marked.where(seen).join(small_or_plain(asked.select("_own", "_stays"), rows), "_own", "left").where("coalesce(_stays, true)")
+    if not asked.where("_rows > 1").isEmpty():
+        found = found.dropDuplicates(["doc_id", "text"])
+    return back(marked.where(~seen)).unionByName(back(found))
 
 
 def op8_jaccard(spark, folder: str) -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import uuid
 import zlib
 from collections import Counter
 
@@ -11,7 +12,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from plantwatch.llm import chunks, fingerprints, fixity, forest, jaccard, languages, licenses, mixture, packing, secret_scan
+from plantwatch.llm import chunks, common, fingerprints, fixity, forest, jaccard, languages, licenses, mixture, packing, secret_scan
 from plantwatch.llm.components import components
 from plantwatch.llm.queries import ORACLES, QUERIES
 from tests.oracle import connect, difference
@@ -328,6 +329,43 @@ def test_one_of_a_group_stays_whatever_ids_are_null(spark):
     assert sorted(r["_id"] for r in jaccard.one_per_group(table).collect()) == [3, 5, 6]
 
 
+@pytest.fixture
+def checkpoints(tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_folder", lambda spark, purpose: f"{tmp_path}/{purpose}/{uuid.uuid4().hex}")
+    return tmp_path
+
+
+def _copies():
+    texts = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(300)]
+    return texts, [(i, t) for i, t in enumerate(texts)] + [(1000 + i, texts[i] + " more") for i in range(0, 300, 30)]
+
+
+@pytest.mark.parametrize("rows", [3, 200_000])
+def test_one_of_a_group_stays_however_many_are_looked_up(spark, checkpoints, rows):
+    texts, pairs = _copies()
+    pairs += [(None, "no id"), (None, "no id"), (None, None), (None, ""), (None, texts[7]), (5, texts[5]), (5, texts[5])]
+    table = spark.createDataFrame(pairs, "doc_id bigint, text string").repartition(3)
+    kept = jaccard.one_per_group(table, rows=rows)
+    wanted = Counter([*enumerate(texts), (None, "no id"), (None, None), (None, "")])
+    assert Counter(map(tuple, kept.collect())) == wanted
+    assert {p.name for p in checkpoints.iterdir() if any(p.rglob("*.parquet"))} <= {"asked", "marks"}
+
+
+def test_only_texts_that_may_go_are_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "small_or_plain", lambda frame, rows=0: frame)
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        texts, pairs = _copies()
+        kept = jaccard.one_per_group(spark.createDataFrame(pairs, "doc_id bigint, text string"))
+        shuffled = kept._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning")[1:]
+        assert any("text#" in part for part in shuffled)
+        assert all("_bits" in part for part in shuffled if "text#" in part)
+        assert Counter(map(tuple, kept.collect())) == Counter(enumerate(texts))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+
+
 def test_regions_go_on_to_new_pivots():
     n = 40
     raw = np.zeros((n, jaccard.BUCKETS), np.uint8)
