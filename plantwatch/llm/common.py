@@ -26,6 +26,10 @@ BATCH_BYTES = 4 << 20
 #: Folders that ``saved`` wrote inside the ``scratch`` that is open, if one is.
 _WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
+#: In a Python worker: how to drop what modules keep between tasks, and the module whose task ran last.
+_KEPT: list[Callable[[], None]] = []
+_RAN: list[str] = []
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -101,18 +105,37 @@ def small_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(limit))
 
 
+def keeps(forget: Callable[[], None]) -> None:
+    """Names what drops a module's tables, which workers keep between tasks: no longer than that module's tasks follow each other."""
+    _KEPT.append(forget)
+
+
+def begin(module: str) -> None:
+    """A task of the module begins in this worker: what others keep goes."""
+    if _RAN != [module]:
+        _RAN[:] = [module]
+        for forget in _KEPT:
+            forget()
+        hand_back()
+
+
+def hand_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def freed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """The task's function, after which its worker hands unused memory back; workers live on between tasks,
     beside an executor's heap, and would each keep the most they ever held."""
 
     def task(batches: Iterator) -> Iterator:
+        begin(run.__module__)
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
-                libc.malloc_trim(0)
+            hand_back()
 
     return task
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantwatch.llm.common import BROADCAST_ROWS, SLAB_BYTES, cuts, freed, joined_bytes, mixed, read_table, saved, scratch, set_aside, small_or_plain, text_key
+from plantwatch.llm.common import BROADCAST_ROWS, SLAB_BYTES, cuts, freed, joined_bytes, keeps, mixed, read_table, saved, scratch, set_aside, small_or_plain, text_key
 from plantwatch.llm.components import components
 
 SHINGLE = 5
@@ -59,6 +59,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BYTES = mixed(np.arange(1, 257, dtype=np.uint64))
 _POWERS: dict[int, np.ndarray] = {}
+keeps(_POWERS.clear)
 
 
 def _powers(base: int, count: int) -> np.ndarray:

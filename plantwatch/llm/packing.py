@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plantwatch.llm.common import cuts, freed, in_order, read_table, saved
+from plantwatch.llm.common import cuts, freed, in_order, keeps, read_table, saved
 
 CAPACITY = 2048
 END_ID = 0
@@ -134,6 +134,9 @@ def word_encoder(path: str | None, kept_bytes: int | None = None) -> WordEncoder
     return WordEncoder(path, kept_bytes)
 
 
+keeps(word_encoder.cache_clear)
+
+
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, with_ids: bool = False,
            kept_bytes: int | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 and, if asked for, ids of each document's pieces.

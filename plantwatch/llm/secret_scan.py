@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from plantwatch.llm.common import freed, read_table
+from plantwatch.llm.common import freed, keeps, read_table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Least length of a string judged by its tokens, and the characters per token it stays under.
@@ -46,6 +46,9 @@ def token_counter(path: str | None):
     return lambda text: len(coder.encode_ordinary(text))
 
 
+keeps(token_counter.cache_clear)
+
+
 def looks_random(text: str, vocabulary: str | None) -> bool:
     """True for strings of few characters per token that are no digest and no identifier."""
     if text.isdigit() or _UUID.fullmatch(text):

@@ -459,6 +459,28 @@ def test_words_kept_by_the_encoder_are_bounded(monkeypatch):
         assert encoder.kept <= 200 * 300 + 100_000 and len(encoder.known) <= 800
 
 
+def test_workers_keep_tables_of_one_module_at_a_time():
+    packs, joins = (common.freed(f) for f in (_packs, _joins))
+    assert [list(packs([1, 2])), list(packs([3]))] == [[1, 1], [1]]
+    assert list(joins([1])) == [(0, 1)] and jaccard._POWERS
+    assert list(packs([1])) == [1] and not jaccard._POWERS
+
+
+def _packs(batches):
+    for _ in batches:
+        packing.word_encoder(None, 1 << 20)
+        yield packing.word_encoder.cache_info().currsize
+
+
+def _joins(batches):
+    for _ in batches:
+        jaccard._powers(3, 5)
+        yield packing.word_encoder.cache_info().currsize, len(jaccard._POWERS)
+
+
+_packs.__module__, _joins.__module__ = packing.__name__, jaccard.__name__
+
+
 def test_stages_keep_columns_that_clash(spark):
     ddl = "doc_id bigint, text string, lang string, source string, n_chars bigint, size string, copies string, _source string, _slice int, score string, lang_pred int"
     rows = [(i, "the cat and the dog " * (i + 1), "en", "a", 1, "s", "c", "o", 7, "x", 5) for i in range(8)] + [(None, None, None, None, None, "s", None, None, 1, None, 2)]
