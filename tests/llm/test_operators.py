@@ -449,6 +449,43 @@ def test_word_encoder_equals_the_tokenizer():
         assert np.frombuffer(got, "<u4").tolist() == plain.encode(text or "", add_special_tokens=False).ids
 
 
+def test_word_encoder_gives_each_word_of_letters_to_the_merges_once(monkeypatch):
+    import pyarrow as pa
+
+    encoder = packing.WordEncoder(None, 20_000)
+    seen, merged = [], encoder._merged
+    monkeypatch.setattr(encoder, "_merged", lambda words: seen.extend(words) or merged(words))
+    encoder.many(pa.array(["x word word. word,\nword; x word?!", "x Été été: x straße\nстрока 語語 x²", "x don't d1 _a a_"]))
+    assert sorted(seen) == sorted(["x", "word", " word", " x", " Été", " été", " straße", "строка", " 語語"])
+    for a in "abcdefghijklmnopq":  # what is used again outlives more words than the bound holds
+        seen.clear()
+        encoder.many(pa.array(["x word " + " ".join(f"{a}{b}" for b in "abcdefghijklmnopq")]))
+        assert " word" not in seen and encoder.kept <= 20_000 + 5_000
+    assert len(encoder.known) + len(encoder.older) < 150
+
+
+def test_word_encoder_equals_the_tokenizer_on_letters_and_signs():
+    import pyarrow as pa
+
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    plain = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
+    rng = random.Random(2)
+    signs = [" ", " ", "\n", ".", ",", "!", "'", "'s", "1", "²", "ª", "é", "ß", "ж", "語", "\u0301", "ͅ", "Ⅷ", "𝒳", "a", "the", "ing", "Z", "\xad", "_", "€"]
+    texts = ["".join(rng.choice(signs) for _ in range(40)) for _ in range(500)]
+    for kept in (1, 1 << 20):
+        for text, got in zip(texts, packing.WordEncoder(None, kept).many(pa.array(texts))):
+            assert np.frombuffer(got, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_plan_of_packing_needs_no_python_workers(spark, docs, monkeypatch):
+    local = []
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", lambda *a, **b: local.append(a) or pytest.fail("rows sent through Python workers"))
+    assert packing.pack(docs, capacity=64).count() and not local
+
+
 def test_words_kept_by_the_encoder_are_bounded(monkeypatch):
     import pyarrow as pa
 
