@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from plantwatch.llm import jaccard, languages, mixture, packing, secret_scan
 from plantwatch.llm.common import read_table, saved, small_batches
 
-#: Bytes of words that a worker keeps in the last stage, where others of its executor still hold their memory.
-KEPT_BYTES = 32 << 20
+#: Bytes of words that a worker keeps in the last stage, and of texts it encodes at once: its executor's heap is full by then.
+KEPT_BYTES = 16 << 20
+ENCODE_BYTES = 1 << 20
 
 
 def keep_recognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +38,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    return packing.pack(docs, kept_bytes=KEPT_BYTES)
+    return packing.pack(docs, kept_bytes=KEPT_BYTES, encode_bytes=ENCODE_BYTES)
 
 
 STAGES = [
